@@ -142,8 +142,8 @@ def probe_references(
     deleted: Column,
     reason: str = "reason",
     keep_ok: bool = False,
-    events_per_range: int = 50_000,
-    refs_per_task: int = 2_000_000,
+    events_per_range: int = 4_000,
+    refs_per_task: int = 250_000,
 ) -> DataFrame:
     """The rows of ``refs`` whose parent was not alive at ``at``, with the column ``reason``; with ``keep_ok`` all rows."""
     events = written(parent_events(parents, parent_key, created, deleted), "parents")
