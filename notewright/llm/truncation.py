@@ -22,6 +22,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ MAX_CONTEXT, MIN_SEEN = 7, 3
 #: Words (of 64 bits) of the Bloom filter.
 BLOOM_WORDS = 1 << 17
 #: A context ends texts when at least this share of its occurrences does: at a spike, elsewhere.
-END_SHARE = {"spike": 0.35, "any": 0.06}
+END_SHARE = {"spike": 0.35, "any": 0.03}
 
 #: Marks that the rest was left out. Fixed values.
 LEFT_OUT = re.compile(r"(?:…|\.\.\.+|\.\s\.\s\.|[\[(<]\s*(?:…|\.{2,}|suite|à suivre|tronqué\w*|coupé\w*|truncated|cut|more|continued|to be continued|sigue|cortado|continua|gekürzt|fortsetzung|segue|troncato|cortado)[^\])>]{0,20}[\])>]|\b(?:lire la suite|read more|voir plus))\s*$", re.I)
@@ -48,9 +49,9 @@ _END = {".", "?", "!", "…"}
 
 
 def fold(s: str) -> str:
-    """Lower case without accents, digits as 0."""
+    """Lower case without accents, numbers as 0."""
     s = unicodedata.normalize("NFKD", s.casefold())
-    return re.sub(r"\d", "0", "".join(c for c in s if not unicodedata.combining(c))).replace("’", "'")
+    return re.sub(r"\d+", "0", "".join(c for c in s if not unicodedata.combining(c))).replace("’", "'")
 
 
 def _open(text: str) -> bool:
@@ -172,7 +173,7 @@ def length_spikes(values: DataFrame, *, least: int = 4, times: float = 6.0, arou
 
 
 def _evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds: mark, terminal, the final contexts and, as the word test, the hash of the last word."""
+    """Adds: mark, terminal, the final contexts, and the last word without and with the word before it."""
     for b in batches:
         marks, terminal, ctx, word = [], [], [], []
         for field, v in zip(b.column("field").to_pylist(), b.column("value").to_pylist(), strict=True):
@@ -180,9 +181,9 @@ def _evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             marks.append(ending_mark(v))
             terminal.append(bool(TERMINAL.search(t)) or bool(re.search(r"\betc\.?$", t)))
             ctx.append([] if marks[-1] or terminal[-1] else final_contexts(field, v))
-            m = re.search(r"\w+$", t)
-            word.append(fold(m[0]) if m and not terminal[-1] and not m[0].isdigit() else None)
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks, pa.string()), pa.array(terminal, pa.bool_()), pa.array(ctx, pa.list_(pa.int64())), pa.array(word, pa.string())], [*b.schema.names, "mark", "terminal", "ctx", "word"])
+            m = re.search(r"(?:(\w+)\W{1,3})?(\w+)$", t)
+            word.append([x for x in (fold(m[2]), m[1] and fold(f"{m[1]} {m[2]}")) if x] if m and not terminal[-1] and not m[2].isdigit() else [])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks, pa.string()), pa.array(terminal, pa.bool_()), pa.array(ctx, pa.list_(pa.int64())), pa.array(word, pa.list_(pa.string()))], [*b.schema.names, "mark", "terminal", "ctx", "word"])
 
 
 def _context_counts(bits: np.ndarray):
@@ -201,34 +202,35 @@ def _context_counts(bits: np.ndarray):
 
 
 def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n, last): the words of the texts; ``last`` counts those at the very end of a text, which a cut may have shortened."""
+    """(word, inside): words and pairs of words of the texts, but for those at the very end of a text that a cut may have shortened."""
     for b in batches:
-        seen: Counter[tuple[str, bool]] = Counter()
+        seen: Counter[str] = Counter()
         for text in b.column("text").to_pylist():
             bare = LEFT_OUT.sub("", text)
             words = re.findall(r"\w+", fold(bare))
             cut = bool(words) and (bare != text or not TERMINAL.search(text.rstrip()))
-            seen.update((w, False) for w in words[: len(words) - cut])
-            if cut:
-                seen[words[-1], True] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([v * (not k[1]) for k, v in seen.items()], pa.int64()), pa.array([v * k[1] for k, v in seen.items()], pa.int64())], ["word", "inside", "last"])
+            words = words[: len(words) - cut]
+            seen.update(words)
+            seen.update(map(" ".join, pairwise(words)))
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "inside"])
 
 
-def half_words(values: DataFrame, corpus: DataFrame, *, least: int = 3, longest: int = 40) -> DataFrame:
-    """(word): last words of values that are no whole word of the corpus (inside a text) but begin at least ``least`` occurrences of longer ones."""
-    last = values.select("word").filter("word is not null").distinct()
-    words = corpus.select("text").mapInArrow(_words, "word string, inside bigint, last bigint").groupBy("word").agg(F.sum("inside").alias("inside"), F.sum("last").alias("last"))
-    words = written(words, "words")
-    asked = last.join(words.select("word", "inside"), "word", "left").filter("coalesce(inside, 0) = 0")
-    starts = words.filter("inside > 0").select("inside", F.explode(F.sequence(F.lit(1), F.least(F.length("word") - 1, F.lit(longest)))).alias("k"), F.col("word").alias("w")).filter("k >= 1").select(F.expr("left(w, k)").alias("word"), "inside")
-    begun = starts.join(asked.select("word"), "word", "left_semi").groupBy("word").agg(F.sum("inside").alias("longer"))
-    return asked.join(begun, "word").filter(F.col("longer") >= least).select("word", F.lit(True).alias("half"))
+def half_words(values: DataFrame, corpus: DataFrame, *, least: int = 3, rare: float = 0.01, longest: int = 40) -> DataFrame:
+    """(word, half): last words, and last pairs of words, of values that stand nowhere inside a text (or ``rare``-ly against longer ones) but begin at
+    least ``least`` occurrences of longer ones."""
+    last = values.select(F.explode("word").alias("word")).distinct()
+    words = written(corpus.select("text").mapInArrow(_words, "word string, inside bigint").groupBy("word").agg(F.sum("inside").alias("inside")), "words")
+    before = F.length(F.regexp_extract("word", "^(.* )", 1))
+    starts = words.filter(F.length("word") > before + 1).select("inside", F.explode(F.sequence(before + 1, F.least(F.length("word") - 1, before + longest))).alias("k"), F.col("word").alias("w"))
+    begun = starts.select(F.expr("left(w, k)").alias("word"), "inside").join(last, "word", "left_semi").groupBy("word").agg(F.sum("inside").alias("longer"))
+    asked = last.join(begun, "word").join(words, "word", "left")
+    return asked.filter((F.col("longer") >= least) & (F.coalesce("inside", F.lit(0)) <= rare * F.col("longer"))).select("word", F.lit(True).alias("half"))
 
 
 def truncation_evidence(values: DataFrame, corpus: DataFrame) -> DataFrame:
     """The values with their evidence: mark, terminal, spike, half, end_share, seen, and the verdict ``cut``."""
     columns = values.columns
-    v = written(values.mapInArrow(_evidence, ", ".join(f"{n} {t}" for n, t in values.dtypes) + ", mark string, terminal boolean, ctx array<bigint>, word string"), "endings")
+    v = written(values.mapInArrow(_evidence, ", ".join(f"{n} {t}" for n, t in values.dtypes) + ", mark string, terminal boolean, ctx array<bigint>, word array<string>"), "endings")
     spikes = length_spikes(v)
     chars, octets = (spikes.filter(F.col("unit") == u).select("area", "field", F.col("length").alias(f"{u}_at"), F.lit(True).alias(f"{u}_spike")) for u in ("chars", "bytes"))
     at = v.withColumn("chars_at", F.length("value")).withColumn("bytes_at", F.octet_length("value"))
@@ -241,13 +243,15 @@ def truncation_evidence(values: DataFrame, corpus: DataFrame) -> DataFrame:
     counted = counted.filter(F.col("n") >= MIN_SEEN)
     deep = v.select("field", F.posexplode("ctx").alias("k", "h")).select("field", "h", "k").distinct()
     best = v.select("sha256", "chunk_idx", "field", "value", F.posexplode("ctx").alias("k", "h")).join(counted.join(deep.select("h").distinct(), "h", "left_semi"), "h").groupBy("sha256", "chunk_idx", "field", "value").agg(F.max_by(F.struct("ends", "n", "k"), "k").alias("best"), F.min_by(F.struct("ends", "n", "k"), "k").alias("word1"))
-    out = at.join(best, ["sha256", "chunk_idx", "field", "value"], "left").join(half_words(v, corpus), "word", "left")
-    share = F.col("best.ends") / F.col("best.n")
+    halves = v.select("sha256", "chunk_idx", "field", "value", F.explode("word").alias("word")).join(half_words(v, corpus), "word").groupBy("sha256", "chunk_idx", "field", "value").agg(F.lit(True).alias("half"))
+    out = at.join(best, ["sha256", "chunk_idx", "field", "value"], "left").join(halves, ["sha256", "chunk_idx", "field", "value"], "left")
+    # A title counts its own end; that end is no evidence.
+    share = F.greatest(F.col("best.ends") - F.when(F.col("field") == "title", 1).otherwise(0), F.lit(0)) / F.col("best.n")
     # A last word that, however often met, never ends a text: an article, a preposition.
     leads = F.coalesce((F.col("word1.k") == 0) & (F.col("word1.n") >= 50) & (F.col("word1.ends") < 0.02 * F.col("word1.n")), F.lit(False))
     limit = F.when(F.col("spike"), END_SHARE["spike"]).otherwise(END_SHARE["any"])
     bare = ~F.col("terminal")
-    verdict = F.when(F.col("mark").isNotNull(), F.col("mark")).when(bare & F.coalesce("half", F.lit(False)), F.lit("word")).when(bare & F.col("spike") & (F.col("field") == "summary") & ~F.coalesce((share >= 0.6) & (F.col("best.k") >= 2), F.lit(False)), F.lit("limit")).when(bare & ((share < limit) | leads), F.lit("phrase"))
+    verdict = F.when(F.col("mark").isNotNull(), F.col("mark")).when(bare & F.coalesce("half", F.lit(False)), F.lit("word")).when(bare & F.col("spike") & (F.col("field") == "summary") & ~F.coalesce((share >= 0.6) & (F.col("best.k") >= 2), F.lit(False)), F.lit("limit")).when(bare & (((share < limit) & (F.col("best.k") > 0)) | leads), F.lit("phrase"))
     return out.select(*columns, "terminal", "spike", F.coalesce("half", F.lit(False)).alias("half"), share.alias("end_share"), F.col("best.n").alias("seen"), (F.col("best.k") + 1).alias("depth"), verdict.alias("cut"))
 
 
