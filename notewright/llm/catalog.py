@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..plans.catalog import gather
 from ..plans.registry import Query
 
-MODULES = ("truncation_queries",)
+MODULES = ("language_queries", "truncation_queries")
 
 
 def llm() -> tuple[dict[str, Query], dict[str, str]]:
