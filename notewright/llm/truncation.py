@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 
 from ..session import written
 
-MAX_CONTEXT, MIN_SEEN = 7, 3
+MAX_CONTEXT, MIN_SEEN = 7, 8
 #: Words (of 64 bits) of the Bloom filter.
 BLOOM_WORDS = 1 << 17
 #: A context ends texts when at least this share of its occurrences does: at a spike, elsewhere.
