@@ -143,14 +143,15 @@ def front_matter(text: Column) -> Column:
     bare = lambda v: F.regexp_replace(strip(v), "^[\"']+|[\"']+$", "")
     used = F.filter(head, lambda x: (strip(x) != "") & ~F.startswith(strip(x), F.lit("#")))
     item = lambda x: x.rlike(r"^[ \t]") | F.startswith(strip(x), F.lit("-"))
-    sep = lambda x: F.when(F.contains(x, F.lit(":")), F.lit(":")).otherwise(F.lit("="))
+    colon = lambda x: F.contains(x, F.lit(":"))
+    part = lambda x, i: F.when(colon(x), F.regexp_extract(x, r"^([^:]*):(.*)$", i)).otherwise(F.regexp_extract(x, r"^([^=]*)=(.*)$", i))
     bad = F.exists(used, lambda x: ~item(x) & ~F.contains(x, F.lit(":")) & ~F.contains(x, F.lit("=")))
     # Fold the lines into (key, value) pairs; an item goes to the pair before it.
     pair = "struct<k:string,v:string>"
     start = F.array().cast(f"array<{pair}>")
 
     def step(acc: Column, x: Column) -> Column:
-        new = F.struct(strip(F.substring_index(x, sep(x), 1)).alias("k"), bare(F.substring(x, F.length(F.substring_index(x, sep(x), 1)) + 2, F.length(x))).alias("v"))
+        new = F.struct(strip(part(x, 1)).alias("k"), bare(part(x, 2)).alias("v"))
         last = F.try_element_at(acc, F.lit(-1))
         more = bare(F.regexp_replace(strip(x), "^-+", ""))
         joined = F.struct(last.k.alias("k"), F.when(last.v == "", more).otherwise(F.concat_ws(", ", last.v, more)).alias("v"))
