@@ -6,7 +6,7 @@ import importlib
 
 from .registry import Query
 
-MODULES = ("references", "ledger", "lint", "merge", "wiki", "calls")
+MODULES = ("references", "ledger", "lint", "merge", "wiki", "calls", "stream")
 
 
 def gather(package: str, modules: tuple[str, ...]) -> tuple[dict[str, Query], dict[str, str]]:
