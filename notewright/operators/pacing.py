@@ -73,7 +73,7 @@ def thinking_step_down(level: Column) -> Column:
 
 def cascade(spec: Column) -> Column:
     """Models of a comma list, each once, without moving aliases."""
-    return F.array_distinct(F.filter(F.transform(F.split(spec, ","), F.trim), lambda m: (m != "") & ~F.endswith(m, F.lit("-latest"))))
+    return F.array_distinct(F.filter(F.transform(F.split(spec, ","), lambda m: F.trim(m)), lambda m: (m != "") & ~F.endswith(m, F.lit("-latest"))))
 
 
 def model_days(calls: DataFrame, model: str, epoch: Column, status: Column, long_delay: Column) -> DataFrame:

@@ -63,7 +63,7 @@ def parent_arrays(events: DataFrame, ranges: int, hot: DataFrame | None) -> Data
     calm = parent_arrays(e.filter("cuts is null").select(*events.columns), ranges, None)
     slots = e.filter("cuts is not null").withColumn("g2", _slot("t", "cuts"))
     sums = slots.groupBy("h", "key", "g2").agg(F.sum("net").alias("net"), F.sum("made").alias("made"))
-    every = hot.select("key", F.xxhash64("key").alias("h"), F.explode(F.sequence(F.lit(0), F.size("cuts"))).cast("long").alias("g2"))
+    every = hot.select("key", F.xxhash64("key").alias("h"), F.explode(F.sequence(F.lit(0).cast("long"), F.size("cuts").cast("long"))).alias("g2"))
     before = Window.partitionBy("key").orderBy("g2").rowsBetween(Window.unboundedPreceding, -1)
     carried = every.join(sums, ["h", "key", "g2"], "left").select("h", "key", "g2", F.lit(-(2**63)).alias("t"), F.sum("net").over(before).alias("net"), F.sum("made").over(before).alias("made")).filter("net is not null")
     both = slots.select("h", "key", "g2", "t", "net", "made").unionByName(carried)

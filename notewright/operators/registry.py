@@ -81,9 +81,9 @@ def best_definitions(defs: DataFrame) -> DataFrame:
 
 
 def promoted(m: DataFrame, *, least_docs: int = 2) -> DataFrame:
-    """(slug, docs, primary, promoted): an entity gets a page when enough documents mention it or one makes it its subject."""
-    g = m.filter("coalesce(slug, '') <> ''").groupBy("slug").agg(F.count_distinct("doc").alias("docs"), F.coalesce(F.bool_or(F.col("salience") == "primary"), F.lit(False)).alias("primary"))
-    return g.withColumn("promoted", (F.col("docs") >= least_docs) | F.col("primary"))
+    """(slug, docs, is_primary, promoted): an entity gets a page when enough documents mention it or one makes it its subject."""
+    g = m.filter("coalesce(slug, '') <> ''").groupBy("slug").agg(F.count_distinct("doc").alias("docs"), F.coalesce(F.bool_or(F.col("salience") == "primary"), F.lit(False)).alias("is_primary"))
+    return g.withColumn("promoted", (F.col("docs") >= least_docs) | F.col("is_primary"))
 
 
 def entity_mentions(m: DataFrame, chosen: DataFrame) -> DataFrame:

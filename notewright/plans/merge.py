@@ -18,7 +18,7 @@ WITH c AS (SELECT source.sha256 AS sha, source.chunk.idx AS idx, any_value(sourc
 e AS (SELECT sha, idx, path, note.slug AS doc, i - 1 AS pos, entities[i] AS e FROM (SELECT *, unnest(range(1, len(entities) + 1)) AS i FROM c)),
 m AS (SELECT sha, idx, pos, path, doc, e.slug AS slug, e.name AS name, e.kind AS kind, e.subtype AS subtype, e.aliases AS aliases, e.tags AS tags, e.definition AS definition, e.evidence AS evidence, e.salience AS salience,
   CASE e.salience WHEN 'primary' THEN 2 WHEN 'secondary' THEN 1 ELSE 0 END AS rank FROM e),
-pr AS (SELECT slug, count(DISTINCT doc) AS docs, coalesce(bool_or(salience = 'primary'), false) AS "primary", count(DISTINCT doc) >= 2 OR coalesce(bool_or(salience = 'primary'), false) AS promoted FROM m WHERE coalesce(slug, '') <> '' GROUP BY slug)
+pr AS (SELECT slug, count(DISTINCT doc) AS docs, coalesce(bool_or(salience = 'primary'), false) AS is_primary, count(DISTINCT doc) >= 2 OR coalesce(bool_or(salience = 'primary'), false) AS promoted FROM m WHERE coalesce(slug, '') <> '' GROUP BY slug)
 """
 
 

@@ -21,7 +21,15 @@ def watched_table(spark: SparkSession, folder: str, schema, *, files: int = 20)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("latestFirst", "false").parquet(folder)
 
 
-def _complete(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+#: How long an incomplete document waits, where its job runs on by processing time.
+WAIT_MS = 30 * 24 * 3600 * 1000
+
+
+def _complete(wait: int | None):  # noqa: ANN202
+    return lambda key, batches, state: _collect(wait, key, batches, state)
+
+
+def _collect(wait: int | None, key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     seen: set[int] = set(state.get[0]) if state.exists else set()
     if state.hasTimedOut:
         state.remove()
@@ -36,12 +44,16 @@ def _complete(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
         yield pd.DataFrame({"sha": [key[0]], "chunks": [len(seen)], "total": [total], "first_idx": [min(seen)], "last_idx": [max(seen)]})
     else:
         state.update((sorted(seen), total))
-        state.setTimeoutDuration(30 * 24 * 3600 * 1000)
+        if wait:
+            state.setTimeoutDuration(wait)
 
 
-def completed_documents(chunks: DataFrame) -> DataFrame:
-    """(sha, chunks, total, first_idx, last_idx): a document when its last missing chunk (sha, idx, total) arrives; state waits thirty days for it. Chunks that come twice count once."""
-    return chunks.groupBy("sha").applyInPandasWithState(_complete, CHUNKS, "seen array<int>, total int", "append", GroupStateTimeout.ProcessingTimeTimeout)
+def completed_documents(chunks: DataFrame, *, wait_ms: int | None = None) -> DataFrame:
+    """(sha, chunks, total, first_idx, last_idx): a document when its last missing chunk (sha, idx, total) arrives. Chunks that come twice count once. With ``wait_ms``
+    (``WAIT_MS``, say) the state of an incomplete document is given up after that time without a chunk; leave it out for runs that end when all is read, as
+    Spark goes on as long as a timeout may come."""
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if wait_ms else GroupStateTimeout.NoTimeout
+    return chunks.groupBy("sha").applyInPandasWithState(_complete(wait_ms), CHUNKS, "seen array<int>, total int", "append", timeout)
 
 
 def windowed_activity(ledger: DataFrame, *, late: str = "30 days", width: str = "1 day") -> DataFrame:
