@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Registry
-from ..sources import read_table
+from ..sources import read_table, spread
 from . import language as L
 
 REGISTRY = Registry()
 
 
 def _segmented(spark: SparkSession, d: str) -> DataFrame:
-    e = read_table(spark, d, "envelope")
+    e = spread(read_table(spark, d, "envelope").select("source", "extraction", "note"))
     profiles = L.train_profiles(L.envelope_texts(e), F.col("text"), read_table(spark, d, "common_word"))
     return L.language_segments(L.envelope_summaries(e), F.col("summary"), profiles)
 

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Registry
-from ..sources import read_table
+from ..sources import read_table, spread
 from . import quality as Q
 
 REGISTRY = Registry()
 
 
 def _quality(spark: SparkSession, d: str, keep: list[str]) -> DataFrame:
-    return Q.text_quality(read_table(spark, d, "documents"), F.col("text"), read_table(spark, d, "common_word"), keep)
+    return Q.text_quality(spread(read_table(spark, d, "documents").select("text", *keep)), F.col("text"), read_table(spark, d, "common_word"), keep)
 
 
 @REGISTRY.add("p8_found")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import Registry
-from ..sources import read_table
+from ..sources import read_table, spread
 from . import splitting as S
 
 REGISTRY = Registry()
@@ -17,7 +17,7 @@ def _limits(spark: SparkSession, d: str) -> dict[str, tuple[int, int]]:
 
 
 def _pieces(spark: SparkSession, d: str) -> DataFrame:
-    return S.split_oversized(S.section_texts(read_table(spark, d, "envelope")), ["sha256", "chunk_idx", "section_no"], "text", *_limits(spark, d)["section"])
+    return S.split_oversized(S.section_texts(spread(read_table(spark, d, "envelope").select("source", "note"))), ["sha256", "chunk_idx", "section_no"], "text", *_limits(spark, d)["section"])
 
 
 @REGISTRY.add(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import Registry
 from ..session import written
-from ..sources import read_table
+from ..sources import read_table, spread
 from . import mixing as M
 from . import packing as P
 
@@ -17,7 +17,7 @@ REGISTRY = Registry()
 @REGISTRY.add("p6_places")
 def p6_places(spark: SparkSession, d: str) -> DataFrame:
     specs = [(r["spec"], r["capacity_tokens"]) for r in read_table(spark, d, "pack_spec").collect()]  # the fixed table of sizes
-    return P.pack(read_table(spark, d, "documents"), F.col("text"), F.col("doc_id"), specs)
+    return P.pack(spread(read_table(spark, d, "documents").select("doc_id", "text")), F.col("text"), F.col("doc_id"), specs)
 
 
 @REGISTRY.add("p6_fill")
@@ -26,7 +26,7 @@ def p6_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mixture(spark: SparkSession, d: str) -> DataFrame:
-    return M.mix(read_table(spark, d, "documents"), F.col("text"), F.col("doc_id"), F.col("source"), read_table(spark, d, "mix_target"))
+    return M.mix(spread(read_table(spark, d, "documents").select("doc_id", "source", "text")), F.col("text"), F.col("doc_id"), F.col("source"), read_table(spark, d, "mix_target"))
 
 
 @REGISTRY.add("p7_mixture")

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.registry import Registry
-from ..sources import read_table
+from ..sources import read_table, spread
 from . import truncation as T
 
 REGISTRY = Registry()
 
 
 def _evidence(spark: SparkSession, d: str) -> DataFrame:
-    e = read_table(spark, d, "envelope")
+    e = spread(read_table(spark, d, "envelope").select("source", "note", "entities"))
     return T.truncation_evidence(T.envelope_values(e), T.envelope_corpus(e))
 
 
