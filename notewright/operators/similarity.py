@@ -70,7 +70,8 @@ def near_duplicates(pages: DataFrame, key: str, body: str) -> DataFrame:
     ws = lambda k, v: tokens.select(F.col("k").alias(k), F.col("ws").alias(v))
     pairs = pairs.join(ws("a", "wa"), "a").join(ws("b", "wb"), "b").filter(F.size(F.array_intersect("wa", "wb")) >= SHARED * F.greatest(F.size("wa"), F.size("wb"))).select("a", "b")
     full = pairs.join(one.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a").join(one.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
-    return full.select("a", "b", "ta", "tb").mapInArrow(_ratios, "a string, b string, ratio double").filter(F.col("ratio") > LIMIT)
+    tasks = 4 * pages.sparkSession.sparkContext.defaultParallelism
+    return full.select("a", "b", "ta", "tb").repartition(tasks, "a", "b").mapInArrow(_ratios, "a string, b string, ratio double").filter(F.col("ratio") > LIMIT)
 
 
 def text_classes(pages: DataFrame, key: str, body: str) -> DataFrame:

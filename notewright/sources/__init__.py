@@ -1,3 +1,3 @@
-from .tables import read_table
+from .tables import read_table, spread
 
-__all__ = ["read_table"]
+__all__ = ["read_table", "spread"]
