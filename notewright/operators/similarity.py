@@ -21,7 +21,7 @@ from ..session import written
 
 LIMIT, PREFIX, LEAST, Q = 0.92, 3_000, 200, 5
 #: Words of a shingle, and the share of the shingles that candidates have in common.
-WORDS, SHARED = 5, 0.6
+WORDS, SHARED = 5, 0.8
 
 
 def quick_bound(a: str, b: str) -> float:
@@ -55,8 +55,10 @@ def _ratios(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(pages: DataFrame, key: str, body: str) -> DataFrame:
     """(a, b, ratio): pairs of representatives, the smaller key of each text, with different texts that match above the limit. Null and short bodies take no part."""
     p = pages.filter(F.length(body) >= LEAST).select(F.col(key).alias("k"), F.col(body).alias("body"))
-    one = written(p.groupBy(F.left("body", F.lit(PREFIX)).alias("t"), F.length("body").alias("n")).agg(F.min("k").alias("k")), "bodies")
-    w = F.filter(F.split(F.lower("t"), r"[^\p{L}\p{N}]+"), lambda x: F.length(x) > 0)
+    one = p.groupBy(F.left("body", F.lit(PREFIX)).alias("t"), F.length("body").alias("n")).agg(F.min("k").alias("k"))
+    # The words are written with the text: an expression inside a lambda would be worked out anew for each shingle.
+    one = written(one.withColumn("w", F.filter(F.split(F.lower("t"), r"[^\p{L}\p{N}]+"), lambda x: F.length(x) > 0)), "bodies")
+    w = F.col("w")
     words = F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - WORDS, F.lit(0))), lambda i: F.xxhash64(F.slice(w, i + 1, F.lit(WORDS)))))
     prefix = F.floor(F.size(words) * (1 - SHARED)).cast("int") + 1
     tokens = written(one.select("k", "n", words.alias("ws"), prefix.alias("m")), "shingles")
