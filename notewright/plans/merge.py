@@ -79,7 +79,7 @@ p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sha, key ORDER BY
 """
 
 
-@REGISTRY.add("reassemble_paragraphs", _C + _P + "SELECT sha, count(*) AS paragraphs, sum(length(paragraph)) AS chars FROM p GROUP BY sha")
+@REGISTRY.add("reassemble_paragraphs", _C + _P + "SELECT sha, count(*) AS paragraphs, CAST(sum(length(paragraph)) AS BIGINT) AS chars FROM p GROUP BY sha")
 def paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return A.paragraphs(_chunks(spark, d)).groupBy("sha").agg(F.count("*").alias("paragraphs"), F.sum(F.length("paragraph")).alias("chars"))
 
