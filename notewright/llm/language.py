@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 LANGUAGES = ("de", "en", "es", "fr", "it", "pt")
 PROFILE_SIZE, MAX_N = 1500, 5
 #: Letters below which a fragment that follows or precedes a sentence is not judged by itself, and the margin below which words decide.
-FEW_LETTERS, SMALL_MARGIN = 7, 0.04
+FEW_LETTERS, SMALL_MARGIN = 7, 0.25
 #: The letters and the margin at which a shorter fragment is judged all the same.
 FEWER_LETTERS, LARGE_MARGIN = 4, 0.3
 
@@ -163,11 +163,13 @@ class Profiles:
         known: Counter[str] = Counter()
         for w in words:
             for lang, share in self.words.get(w, {}).items():
-                known[lang] += share
+                known[lang] += share * share  # words of one language count most
         if known and margin < SMALL_MARGIN:
             top = known.most_common(2)
-            if top[0][1] >= 0.8 and (len(top) < 2 or top[0][1] > 1.3 * top[1][1]):
-                best, margin = top[0][0], max(margin, SMALL_MARGIN)
+            second = top[1][1] if len(top) > 1 else 0.0
+            if top[0][1] >= 0.8 and top[0][1] > 1.3 * second:
+                apart = (top[0][1] - second) / (top[0][1] + second) / 2
+                best, margin = top[0][0], max(margin, apart) if top[0][0] == best else apart
         return best, margin, letters
 
     def segments(self, text: str) -> list[tuple[int, int, str, float]]:
