@@ -224,7 +224,7 @@ def read_organisation(name: str) -> tuple[str, str, str] | None:
     s = fold(name).replace("&", "et").replace("s.a.r.l.", "sarl").replace("s.a.s.", "sas").replace("s.a.", "sa")
     s = re.sub(r"\bindustries? et services?\b", "industrie_et_services", s)
     s = re.sub(r"\bbureau d'? ?etudes?\b", "bureau_d'etudes", s)
-    letters = re.match(r"([a-z])([a-z]s?)\. ?(?=[a-z])", s) if re.match(r"[A-Z]{2,3}\. ?\S", name.strip()) else None
+    letters = re.match(r"([a-z])([a-z]s?)\. ?(?=[a-z])", s) if re.match(r"[A-ZÀ-Þ]{2,3}\. ?\S", name.strip()) else None
     kind = work = ""
     if letters:
         kind, work = letters[1], letters[2][0]
