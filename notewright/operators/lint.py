@@ -164,6 +164,19 @@ def r14(pages: DataFrame) -> DataFrame:
     return _find(_ok(pages).filter(~_stub() & (_floor() > 0) & ((n < _floor()) | ~F.col("body").rlike("(?m)^#"))), "MAJEUR", "R14", F.when(n < _floor(), n.cast("string")).otherwise(F.lit("no heading")))
 
 
+def r15(pages: DataFrame, near: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each pair of pages with equal or nearly equal bodies, once. ``near`` (a, b, ratio) has the pairs of representatives, ``classes`` (key, class) the pages of each;
+    keys are sub/name. The place is the page of the lower step of 500 characters, then the first by folder and name."""
+    place = F.struct(F.floor(F.length("body") / 500).alias("step"), F.array_position(F.array(*map(F.lit, FOLDERS)), F.col("sub")).alias("o"), F.col("name").alias("n"))
+    member = lambda n: classes.select(F.col("class").alias(f"c{n}"), F.col("key").alias(n))
+    equal = member("a").withColumnRenamed("ca", "c").join(member("b").withColumnRenamed("cb", "c"), "c").filter("a < b").select("a", "b", F.lit(1.0).alias("ratio"))
+    alike = near.select(F.col("a").alias("ca"), F.col("b").alias("cb"), "ratio").join(member("a"), "ca").join(member("b"), "cb").select("a", "b", "ratio")
+    at = lambda n: pages.select(F.concat_ws("/", "sub", "name").alias(n), F.struct(place.alias("p"), _at().alias("at"), F.concat_ws("/", "sub", "name").alias("rel")).alias(f"at_{n}"))
+    j = equal.unionByName(alike).join(at("a"), "a").join(at("b"), "b")
+    j = j.select(F.least("at_a", "at_b").alias("x"), F.greatest("at_a", "at_b").alias("y"), "ratio")
+    return _find(j, "MINEUR", "R15", F.concat_ws(":", "y.rel", F.round(F.col("ratio") * 100).cast("int").cast("string")), F.col("x.at"))
+
+
 def r16(pages: DataFrame, index: DataFrame) -> DataFrame:
     """Folders whose pages and index entries differ in number."""
     a = pages.groupBy("sub").agg(F.count("*").alias("n_pages"))

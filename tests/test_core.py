@@ -128,6 +128,32 @@ def test_cocitation(spark):
     assert [(r["location"], r["observed"]) for r in lint.r23(spark.createDataFrame(rows, PAGE)).collect()] == [("wiki/sources/s0.md", "t|sources|s1.md")]
 
 
+def test_report_and_counts_hold_every_rule(spark, tmp_path):
+    """Counts by severity against the rules one by one, on pages with a pair of near, a pair of equal bodies (R15), an injection (R21) and co-citations (R23)."""
+    from collections import Counter
+
+    import __spark_entry__ as E
+    from notewright.plans import lint as Q
+
+    base = "# T\n" + " ".join(f"mot{chr(0x4E00 + i)}" for i in range(90))
+    p = lambda sub, stem, body: (sub, stem + ".md", stem, "---\nt: x\n---\n" + body, {"title": stem, "type": "x", "tags": "a"}, body, body, None, None)
+    rows = [p("entities", "n2", base), p("entities", "n1", base.replace("mot" + chr(0x4E07) + " ", "autre ")), p("concepts", "a", base), p("entities", "evil", "# E\nrm -rf / " + "x" * 200), p("entities", "t", "# t")]
+    rows += [p("sources", f"s{i}", "# x\n[[t]]") for i in range(4)]
+    d = str(tmp_path)
+    spark.createDataFrame(rows, PAGE + ", deleted_at timestamp").write.parquet(f"{d}/page.parquet")
+    spark.createDataFrame([("entities", "gone", None)], "dirname string, name string, deleted_at timestamp").write.parquet(f"{d}/entity_page.parquet")
+    ledger_rows(spark).write.parquet(f"{d}/ledger.parquet")
+    found = E.queries()["lint_findings"](spark, d).collect()
+    pairs = sorted((r["location"], r["observed"].rsplit(":", 1)[0]) for r in found if r["rule"] == "R15")
+    assert pairs == [("wiki/entities/n1.md", "concepts/a.md"), ("wiki/entities/n1.md", "entities/n2.md"), ("wiki/entities/n2.md", "concepts/a.md")]
+    got = {r["severity"]: r["n"] for r in E.queries()["lint_severity_counts"](spark, d).collect()}
+    c = Q.Context(spark, d)
+    every = (*Q.NAMES, "R15")
+    want = Counter(r["severity"] for rule in every for r in Q.RULES[rule](c).collect())
+    assert got == want == Counter(r["severity"] for r in found)
+    assert {"R15", "R21", "R23"} <= {r["rule"] for r in found}
+
+
 def test_spans_cover_the_text():
     for text in ("x" * 2500, "# a\n" + "mot " * 900, ("p" * 700 + "\n\n") * 5, "", "short", "ligne\n" * 600):
         got = chunking.spans(text, 1000, 80)
