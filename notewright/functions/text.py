@@ -158,8 +158,10 @@ def front_matter(text: Column) -> Column:
         return F.when(~item(x), F.concat(acc, F.array(new))).when((F.size(acc) > 0) & (more != ""), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined))).otherwise(acc)
 
     pairs = F.aggregate(used, start, step)
-    keys = F.array_distinct(F.transform(pairs, lambda p: p.k))
-    fm = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p.k == k), F.lit(-1)).v))
+    last = lambda ps, k: F.element_at(F.filter(ps, lambda p: p.k == k), F.lit(-1)).v
+    # The pairs are an item of an array here: an expression inside a lambda would be worked out anew for each key.
+    made = F.transform(F.array(pairs), lambda ps: F.map_from_arrays(F.array_distinct(F.transform(ps, lambda p: p.k)), F.transform(F.array_distinct(F.transform(ps, lambda p: p.k)), lambda k: last(ps, k))))
+    fm = F.get(made, F.lit(0))
     err = F.when(~F.startswith(text, F.lit("---")), F.lit("absent")).when(end.isNull(), F.lit("open")).when(bad, F.lit("line"))
     return F.struct(F.when(err.isNull(), fm).alias("fm"), F.when(F.coalesce(err, F.lit("")).isin("absent", "open"), text).otherwise(rest).alias("body"), err.alias("err"), F.when(err.isNull() | (err == "line"), end + 1).alias("fm_lines"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -27,6 +27,11 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
     return L.live_pages(read_table(spark, d, "page"))
 
 
+def _lf(text: Column) -> Column:
+    """A text with LF at its line ends, as a file opened as text has."""
+    return F.regexp_replace(text, "\r\n?", "\n")
+
+
 def _docs(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "documents")
 
@@ -54,15 +59,18 @@ def kinds(spark: SparkSession, d: str) -> DataFrame:
 
 @REGISTRY.add("front_matter_parse", _P + "SELECT sub, name, coalesce(fm['title'], '') AS title, coalesce(fm['type'], '') AS type, CAST(coalesce(len(map_keys(fm)), 0) AS INTEGER) AS keys FROM p WHERE err IS NULL AND fm IS NOT NULL AND NOT contains(text, chr(13))")
 def front_matter(spark: SparkSession, d: str) -> DataFrame:
-    p = _pages(spark, d).filter("err is null and fm is not null").filter(~F.contains("text", F.lit("\r"))).withColumn("r", X.front_matter(F.col("text")))
+    """Every page, with ``err`` where its front matter cannot be read; then it has no title, type or keys. The SQL holds only pages without CR that can be read, and no err."""
+    p = _pages(spark, d).withColumn("r", X.front_matter(_lf(F.col("text"))))
     get = lambda k: F.coalesce(F.try_element_at("r.fm", F.lit(k)), F.lit(""))
-    return p.select("sub", "name", get("title").alias("title"), get("type").alias("type"), F.size("r.fm").alias("keys"))
+    err = F.when(F.col("text").isNull(), F.lit("unreadable")).otherwise(F.col("r.err"))
+    return p.select("sub", "name", get("title").alias("title"), get("type").alias("type"), F.coalesce(F.size(F.map_keys("r.fm")), F.lit(0)).alias("keys"), err.alias("err"))
 
 
 @REGISTRY.add("front_matter_get", _P + r"SELECT sub, name, trim(regexp_extract(regexp_extract(text, '(?s)\A---\s*\n(.*?)\n---\s*\n', 1), '(?m)^title:[ \t]*(.*)$', 1)) AS title FROM p WHERE text IS NOT NULL AND NOT contains(text, chr(13))")
 def front_matter_get(spark: SparkSession, d: str) -> DataFrame:
-    p = _pages(spark, d).filter("text is not null").filter(~F.contains("text", F.lit("\r")))
-    return p.select("sub", "name", X.fm_get(X.fm_block(F.col("text")), "title").alias("title"))
+    """Every page with a text. The SQL leaves out those with a CR."""
+    p = _pages(spark, d).filter("text is not null")
+    return p.select("sub", "name", X.fm_get(X.fm_block(_lf(F.col("text"))), "title").alias("title"))
 
 
 @REGISTRY.add("strip_code_prose")

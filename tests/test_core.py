@@ -35,6 +35,18 @@ def test_front_matter(spark):
     assert got[4] == ({"a": "1", "b": "2"}, "rest", None) and got[5][0] == {"a": "2"}
 
 
+def test_front_matter_of_every_page(spark, tmp_path):
+    import __spark_entry__ as E
+
+    texts = {"lf": "---\ntitle: A\ntype: x\n---\nb", "crlf": "---\r\ntitle: B\r\ntags: t\r\n---\r\nb\r\n", "cr": "---\rtitle: C\r---\rb", "none": "no front matter", "open": "---\ntitle: D", "line": "---\r\ntitle: E\r\nnonsense\r\n---\r\nx", "null": None}
+    rows = [("concepts", n, t, None if n in ("none", "open", "line", "null") else {"title": "t"}, "table" if n in ("none", "open", "line", "null") else None, None) for n, t in texts.items()]
+    spark.createDataFrame(rows, "sub string, name string, text string, fm map<string,string>, err string, deleted_at timestamp").write.parquet(f"{tmp_path}/page.parquet")
+    got = {r["name"]: (r["title"], r["type"], r["keys"], r["err"]) for r in E.queries()["front_matter_parse"](spark, str(tmp_path)).collect()}
+    assert got == {"lf": ("A", "x", 2, None), "crlf": ("B", "", 2, None), "cr": ("C", "", 1, None), "none": ("", "", 0, "absent"), "open": ("", "", 0, "open"), "line": ("", "", 0, "line"), "null": ("", "", 0, "unreadable")}
+    titles = {r["name"]: r["title"] for r in E.queries()["front_matter_get"](spark, str(tmp_path)).collect()}
+    assert titles == {"lf": "A", "crlf": "B", "cr": "C", "none": "", "open": "", "line": "E"}
+
+
 def test_code_links_and_tokens(spark):
     text = "a [[X|y]]\n```\n[[no]]\n```\n    [[no]]\n`[[no]]` [[ Z ]] [[Z]]"
     assert column(spark, [text], lambda x: X.wikilinks(X.strip_code(x))) == [["X", "Z", "Z"]]
