@@ -4,8 +4,9 @@ Each typed name is read into a form: a core (surname, or the proper word of an o
 organisation and line of work). Nicknames and abbreviations are replaced through tables, misspelt first names by the nearest known one (Jaro-Winkler).
 
 Blocking. Cores are the unit of comparison, so that a name held by many rows is compared once. The key of a core is the phonetic code of its tokens in
-sorted order; a core is filed under its code and under the code with each one sign left out. Cores that share a key are compared by Jaro-Winkler and by
-edit distance. Forms of accepted cores are linked when their qualifiers agree. A form without a first name, or with an initial, is linked only if a single
+sorted order; a core is filed under its code and under the code with each one sign left out. One slip may change two signs of a code, so a core is also filed
+under its spelling with signs left out (``spelling_keys``), which brings together all that ``same_core`` accepts. Cores that share a key are compared by
+Jaro-Winkler and by edit distance. Forms of accepted cores are linked when their qualifiers agree. A form without a first name, or with an initial, is linked only if a single
 fuller form agrees with it. Slugs, forms and links are clustered by connected components (alternating large-star and small-star, written after each round).
 
 Nothing grows with the square of a group: equal forms are one node, forms are linked to one representative of their core and qualifiers.
@@ -48,6 +49,8 @@ ORG_WORK = {
 }
 LEGAL = {"ltd", "sarl", "sa", "sas", "gmbh", "inc", "ag", "spa", "srl", "lda", "llc", "snc"}
 _FORMAL = {nick: full for full, nicks in NICKNAMES.items() for nick in nicks.split()}
+#: Signs of a core from which its parts are its keys, as there would be too many ways to leave out two.
+LONG = 40
 _OCR = str.maketrans("01358", "oless")
 
 
@@ -130,6 +133,21 @@ def same_core(a: str, b: str) -> bool:
     return edits(x, y, 1) <= 1 or short >= 9 and near >= 0.92 and edits(x, y, 2) <= 2
 
 
+def spelling_keys(core: str) -> list[str]:
+    """Keys such that cores which ``same_core`` accepts share one: up to LONG signs the core without blanks and with one sign left out, or two where two slips
+    are allowed; from there on its parts in five, as at least one of five is left whole by two slips and moves by two signs at most."""
+    c = core.replace(" ", "")
+    keys = {c}
+    if 5 <= len(c) <= LONG + 2:
+        keys |= {c[:i] + c[i + 1 :] for i in range(len(c))} if len(c) < 9 else set(without_two(c))
+    if len(c) >= LONG:
+        for n in range(len(c) - 2, len(c) + 3):
+            for i in range(5):
+                at, end = i * n // 5, (i + 1) * n // 5
+                keys |= {f"{n}:{i}:{c[at + k : end + k]}" for k in range(-2, 3) if at + k >= 0 and end + k <= len(c)}
+    return sorted(keys)
+
+
 class FirstNames:
     """Known first names: of the table, and those that stand before many different surnames."""
 
@@ -271,12 +289,11 @@ def _fullness(first: str) -> int:
 def _read(firsts: FirstNames):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            forms, keys = [], []
+            forms = []
             for kind, name in zip(b.column("kind").to_pylist(), b.column("name").to_pylist(), strict=True):
                 f = read_person(name, firsts) if kind == "personne" else read_organisation(name)
                 forms.append(f)
-                keys.append(block_keys(f[0]) if f else [])
-            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array([f and f[i] for f in forms], pa.string()) for i in range(3)], pa.array(keys, pa.list_(pa.string()))], [*b.schema.names, "core", "q1", "q2", "keys"])
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array([f and f[i] for f in forms], pa.string()) for i in range(3)]], [*b.schema.names, "core", "q1", "q2"])
 
     return run
 
@@ -332,13 +349,13 @@ def without_two(core: str) -> list[str]:
     return sorted({c, *one, *(x[:i] + x[i + 1 :] for x in one for i in range(len(x)))})
 
 
-def core_pairs(cores: DataFrame, *, most: int = 400) -> DataFrame:
-    """(kind, a, b): cores that share a block (kind, key, core). A block of more than ``most`` cores is divided by what is left of a core without any two
-    signs, so that all pairs that ``same_core`` can accept still meet."""
-    sizes = cores.groupBy("kind", "key").agg(F.count("*").alias("n")).filter(F.col("n") > most)
-    if sizes.limit(1).count():
+def core_pairs(cores: DataFrame, *, most: int | None = 400) -> DataFrame:
+    """(kind, a, b): cores that share a block (kind, key, core). A block of more than ``most`` cores is divided by the keys of
+    their spellings, so that all pairs that ``same_core`` can accept still meet."""
+    sizes = cores.groupBy("kind", "key").agg(F.count("*").alias("n")).filter(F.col("n") > (most or 0))
+    if most and sizes.limit(1).count():
         sizes = written(sizes.select("kind", "key"), "large-blocks")
-        spread = F.pandas_udf(lambda c: c.map(without_two), "array<string>")
+        spread = F.pandas_udf(lambda c: c.map(spelling_keys), "array<string>")
         large = cores.join(sizes, ["kind", "key"]).select("kind", F.explode(spread("core")).alias("rest"), "key", "core")
         cores = cores.join(sizes, ["kind", "key"], "left_anti").unionByName(large.select("kind", F.concat_ws("\x1f", "key", "rest").alias("key"), "core"))
     a, b = (cores.select("kind", "key", F.col("core").alias(n)) for n in ("a", "b"))
@@ -357,14 +374,18 @@ def _agree_udf():
 
 def link_names(names: DataFrame, firsts: FirstNames) -> DataFrame:
     """(slug, component): the slugs of names typed for the same person or organisation share a component."""
-    read = names.mapInArrow(_read(firsts), "slug string, kind string, name string, alias boolean, core string, q1 string, q2 string, keys array<string>").filter("core is not null")
+    read = names.mapInArrow(_read(firsts), "slug string, kind string, name string, alias boolean, core string, q1 string, q2 string").filter("core is not null")
     # An alias that is no full name says nothing by itself.
     read = read.filter(~F.col("alias") | ((F.length("q1") > 1) & ((F.col("kind") == "personne") | (F.col("q2") != "") | (F.col("q1") != ""))))
     read = written(read, "names")
     form = F.concat_ws("\x1f", "kind", "core", "q1", "q2")
     forms = written(read.select("kind", "core", "q1", "q2").distinct(), "forms")
-    cores = written(read.select("kind", "core", F.explode("keys").alias("key")).distinct(), "blocks")
-    close = written(core_pairs(cores).mapInArrow(_accept, "kind string, a string, b string"), "cores")
+    one = forms.select("kind", "core").distinct()
+    filed = lambda f, name: written(one.select("kind", F.explode(F.pandas_udf(lambda c: c.map(f), "array<string>")("core")).alias("key"), "core"), name)
+    # Hashes that happen to be equal only add pairs to compare. Blocks of spellings are not divided: what would divide them is their key.
+    spelled = filed(spelling_keys, "spellings").withColumn("key", F.xxhash64("key"))
+    pairs = core_pairs(filed(block_keys, "blocks")).unionByName(core_pairs(spelled, most=None)).distinct()
+    close = written(pairs.mapInArrow(_accept, "kind string, a string, b string"), "cores")
     near = close.unionByName(close.select("kind", F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(forms.select("kind", F.col("core").alias("a"), F.col("core").alias("b")).distinct())
     # Fuller forms that agree with a form, over all cores close to its own.
     left = forms.select("kind", F.col("core").alias("a"), F.col("q1").alias("p1"), F.col("q2").alias("p2"))

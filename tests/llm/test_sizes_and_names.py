@@ -132,6 +132,27 @@ def test_large_blocks_are_divided_without_loss(spark):
     assert {p for p in every if N.same_core(*p)} == {p for p in some if N.same_core(*p)}
 
 
+def test_spellings_that_can_be_one_share_a_key():
+    rnd = random.Random(8)
+    pairs = [("tousuzoige", "tousuzoigre"), ("dubois", "duois"), ("simon", "sinon"), ("bibrimouju", "bibrirnouju"), ("a b", "ab")]
+    for _ in range(1500):
+        a = "".join(rnd.choice("aegjklmnrstu") for _ in range(rnd.choice([3, 5, 7, 8, 9, 10, 14, 38, 39, 40, 41, 42, 43, 44, 90])))
+        b = list(a)
+        for _ in range(rnd.choice([1, 2, 2])):
+            i = rnd.randrange(len(b) - 1)
+            b[i : i + 2] = rnd.choice([[b[i + 1], b[i]], [b[i + 1]], ["x", b[i + 1]], [b[i], "y", b[i + 1]]])
+        pairs.append((a, "".join(b)))
+    same = [p for p in pairs if N.same_core(*p)]
+    assert len(same) > 500 and all(set(N.spelling_keys(a)) & set(N.spelling_keys(b)) for a, b in same)
+    assert len(N.spelling_keys("x" + "abcdefghij" * 500)) < 200
+
+
+def test_one_slip_that_changes_two_sounds_is_found(spark):
+    names = ["Groupe Tousuzoige Maintenance", "Groupe Tousuzoigre Maintenance"], ["Robert Dubois", "Robert Duois"], ["Robert Simon", "Robert Sinon"]
+    got = clusters(spark, [(f"{i}-{j}", "personne" if i else "organisation", n, False) for i, two in enumerate(names) for j, n in enumerate(two)])
+    assert all(got[f"{i}-0"] == got[f"{i}-1"] for i in range(3)) and len(set(got.values())) == 3
+
+
 def test_components_against_union_find(spark):
     rnd = random.Random(7)
     edges = [(f"n{rnd.randrange(80)}", f"n{rnd.randrange(80)}") for _ in range(55)] + [(f"c{i}", f"c{i + 1}") for i in range(40)]
