@@ -55,7 +55,8 @@ def _ratios(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(pages: DataFrame, key: str, body: str) -> DataFrame:
     """(a, b, ratio): pairs of representatives, the smaller key of each text, with different texts that match above the limit. Null and short bodies take no part."""
     p = pages.filter(F.length(body) >= LEAST).select(F.col(key).alias("k"), F.col(body).alias("body"))
-    one = p.groupBy(F.left("body", F.lit(PREFIX)).alias("t"), F.length("body").alias("n")).agg(F.min("k").alias("k"))
+    # By the digest of the whole body: longer texts may begin alike and differ after that, and are a pair.
+    one = p.groupBy(F.sha2("body", 256).alias("h")).agg(F.min_by(F.struct("k", F.left("body", F.lit(PREFIX)).alias("t"), F.length("body").alias("n")), "k").alias("r")).select("r.*")
     # The words are written with the text: an expression inside a lambda would be worked out anew for each shingle.
     one = written(one.withColumn("w", F.filter(F.split(F.lower("t"), r"[^\p{L}\p{N}]+"), lambda x: F.length(x) > 0)), "bodies")
     w = F.col("w")

@@ -196,6 +196,13 @@ def test_near_duplicates(spark):
     assert {r["key"]: r["class"] for r in similarity.text_classes(df, "k", "body").collect()} == {"a": "a", "b": "b", "c": "a", "d": "d"}
 
 
+def test_long_texts_that_begin_alike_are_a_pair(spark):
+    head = " ".join(f"mot{i}" for i in range(600))[:3_000]
+    df = spark.createDataFrame([("a", head + " fin une"), ("b", head + " fin dix"), ("c", head + " fin une")], "k string, body string")
+    assert [tuple(r) for r in similarity.near_duplicates(df, "k", "body").collect()] == [("a", "b", 1.0)]
+    assert {r["key"]: r["class"] for r in similarity.text_classes(df, "k", "body").collect()} == {"a": "a", "b": "b", "c": "a"}
+
+
 def test_pacing(spark):
     calls = spark.createDataFrame([("m", i, i != 10) for i in range(11)], "m string, ord int, ok boolean")
     assert pacing.paced(calls, "m", ["ord"], F.col("ok")).first()["interval_ms"] == 7_500
