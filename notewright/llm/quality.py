@@ -46,9 +46,9 @@ _TAGGED = re.compile(r"</?t(?:able|r|d|h|body|head)\b", re.I)
 _GAPS = re.compile(r"\S(?: {2,}|\t)(?=\S)")
 _STACK = re.compile(r"\s*(?:at\s+[\w$.<>]+\(|File \"|\[?\d{4}-\d\d-\d\d[T ]\d\d:\d\d|\w+(?:\.\w+)*(?:Error|Exception)\b|0x[0-9a-f]+|[0-9a-f]{8}\s+(?:[0-9a-f]{2}\s+){4})")
 _JSON = re.compile(r"[{\[]\s*[\"\[{]|\":\s*[\"{\[\d]")
-#: A word with a sign or a digit between its letters. Looked for only where other signs than punctuation are frequent.
+#: A word with a sign or a digit between its letters, and how each of these ends, which is quickly looked for.
 _MIXED = re.compile(r"[^\W\d_](?:[|~^$#*@=<>{}\\!;.:`%]|\d)+[^\W\d_]")
-FEW_SYMBOLS = 0.01
+_MIXED_END = re.compile(r"[|~^$#*@=<>{}\\!;.:`%\d][^\W\d_]")
 _MARKS = ("\t", "|", "│", "{", "}", "<", ">", "`", "#", "•", "☐", "☑", "✓", "  ", '","', ": ", ":\n", "\n-", "\n*", "\n–", "\n—", "\n·", "\n+", "\n◦", "\n▪", "\n‣", "\n -", "\n *", "\n(")
 _NUMBERED = re.compile(r"^ ?\(?(?:\d{1,3}|[a-zA-Z])[.)]\s|^[0-9a-f]{8}\b|^ ?at ", re.M)
 _ENDS = re.compile(r"[.?!…。][\"'»”’)\]]*[ \t\r]*(?=\n|\Z)")
@@ -75,8 +75,16 @@ def _cells(line: str) -> list[str] | None:
     return None
 
 
+#: Lines that the tests of bullets, stacks and rules may take, in a whole text.
+_ODD_LINE = re.compile(rf"^(?:{_BULLET.pattern}|{_STACK.pattern}|[^\S\n]*[|+:=─━┼│┌┐└┘├┤-](?:[^\S\n]|[|+:=─━┼│┌┐└┘├┤-]){{2,}}$)", re.M)
+
+
 def _odd(text: str, ink: bytes) -> bool:
-    """May a line of the text be anything but running text? Then its lines are looked at one by one."""
+    """May a line of the text be anything but running text? Then its lines are looked at one by one. True wherever a test of ``structure`` may fire."""
+    if text.count(",") >= 3 and any(x.count(",") >= 3 and ", " not in x for x in text.split("\n")) or text.count(";") >= 2 and any(x.count(";") >= 2 and "; " not in x for x in text.split("\n")):
+        return True
+    if "~~~" in text or len(_LABELS.findall(text)) >= 7 or _JSON.search(text) or _ODD_LINE.search(text):
+        return True
     return any(m in text for m in _MARKS) or text[:1] in "-*–—·+◦▪‣(" or text.count("»") > text.count("«") or text.count(";") >= 3 or text.rstrip().endswith(":") or b"x" * 46 in ink or bool(_NUMBERED.search(text))
 
 
@@ -165,7 +173,7 @@ def structure(text: str, ink: bytes | None = None) -> tuple[int, int, int, int,
                 sentence += n
             else:
                 item += n
-        elif n > 60 and len(labels := _LABELS.split(s)) >= 8 and len(set(labels)) <= 0.7 * len(labels) and not any(c.isdigit() for c in s[:200]):
+        elif n > 60 and len(labels := _LABELS.split(s)) >= 8 and len(set(labels)) <= 0.7 * len(labels) and not any(c.isdigit() for c in s):
             close()
             noise += n
         elif (cells := _cells(line)) is not None:
@@ -242,7 +250,7 @@ def count_text(text: str, vocabulary: Vocabulary) -> tuple[list[int], str | None
     classes = [kinds.count(i) for i in range(len(CLASSES))]
     ink = data.translate(_INK)
     symbols = classes[1] + classes[6]
-    mixed = len(_MIXED.findall(text)) if classes[6] > FEW_SYMBOLS * len(text) else 0
+    mixed = len(_MIXED.findall(text)) if _MIXED_END.search(text) else 0
     lines = sum(1 for x in text.split("\n") if x and not x.isspace())
     return [len(text), len(words), len(b"".join(words).decode("utf-8", "replace")), symbols, lines, len(_ENDS.findall(text)), len(set(words)), mixed, common, *classes, *structure(text, ink)], lang, ids, ns
 

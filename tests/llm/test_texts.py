@@ -147,3 +147,20 @@ def test_divergence_is_that_of_the_dense_distributions():
     got = Q.word_divergence(np.array([0, 0]), np.array([0, 2]), np.array([3.0, 1.0]), np.array([10.0]), np.array([0]), q)
     p = np.array([0.3, 0.0, 0.1, 0.6])
     assert abs(got[0] - Q.divergence(p, q[0])) < 1e-12
+
+
+def test_no_line_test_is_skipped(monkeypatch):
+    texts = {
+        "csv": "a1,b2,c3,d4\ne5,f6,g7,h8\ni9,j1,k2,l3\nm4,n5,o6,p7", "log": "2024-01-02 10:11 started the job\n2024-01-02 10:12 ended the job", "slash": " / ".join(["home", "menu", "shop", "news"] * 5) + " / home",
+        "dots": " · ".join(["home", "menu", "shop", "news"] * 5) + " · home", "rule": "some words here\n==========\nother words there", "fence": "un mot\n~~~\ncode\n~~~\nfin", "cells": "ab;cd;ef", "prose": "Il pleut sur la ville. Le chat dort, comme toujours.\nOn attend.",
+    }
+    quick = {k: Q.structure(t) for k, t in texts.items()}
+    monkeypatch.setattr(Q, "_odd", lambda *_: True)
+    assert quick == {k: Q.structure(t) for k, t in texts.items()}
+    assert quick["csv"][2] > 0 and quick["log"][3] > 0 and quick["slash"][3] > 0 and quick["dots"][3] > 0 and quick["prose"][0] > 0
+    late = " / ".join(["home", "menu", "shop", "news"] * 10) + " / 2024"
+    assert Q.structure(late)[3] == 0
+
+
+def test_words_mixed_with_digits_and_stops_count():
+    assert Q.count_text("le ch4t d.rt dans la m41son", Q.Vocabulary([("le", "fr"), ("la", "fr")]))[0][Q._NUMBERS.index("mixed")] == 3
