@@ -33,7 +33,8 @@ def _rate(params: dict[str, tuple[int, float, float, float]]) -> Column:
 
 
 def solve_tilts(histogram: DataFrame, targets: dict[str, float], caps: dict[str, int], totals: dict[str, tuple[int, int]], *, steps: int = 60, exact: float = 1e-9) -> dict[str, tuple[int, float, float, float]]:
-    """Newton iterations on the dual. A source whose target is all it has is at the bound: every text as often as it may be."""
+    """Newton iterations on the dual. A source whose target is all it has is at the bound: every text as often as it may be. Where
+    ``steps`` are not enough, it is an error."""
     params = {}
     for s, t in targets.items():
         tokens, texts = totals[s]
@@ -57,6 +58,8 @@ def solve_tilts(histogram: DataFrame, targets: dict[str, float], caps: dict[str,
             step = max(-1.5, min(1.5, off / q["slope"])) if q["slope"] > 0 else math.copysign(1.5, off)
             cap_, base, lam, mean = params[s]
             params[s] = (cap_, base, lam - step, mean)
+    if open_:
+        raise RuntimeError(f"no tilt within {exact} of the target after {steps} steps: {', '.join(sorted(open_))}")
     return params
 
 

@@ -323,12 +323,16 @@ def known_first_names(names: DataFrame, *, least: int = 5, most: int = 20_000) -
     return FirstNames(n.items())
 
 
-def connected_components(edges: DataFrame, *, rounds: int = 30) -> DataFrame:
+def connected_components(edges: DataFrame, *, rounds: int | None = None) -> DataFrame:
     """(node, component): the smallest node of its component for each node of the edges (a, b). Alternates large-star and small-star; each round is written
-    and reads the one before, and the loop ends when a round changes nothing."""
+    and reads the one before, and the loop ends when a round changes nothing; where ``rounds`` are not enough for that, it is an error."""
     e = written(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     before = None
-    for _ in range(rounds):
+    done = 0
+    while True:
+        if done == rounds:
+            raise RuntimeError(f"components still change after {rounds} rounds")
+        done += 1
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("m").alias("a"), "b").filter("a <> b").distinct()

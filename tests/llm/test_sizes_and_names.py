@@ -173,6 +173,16 @@ def test_components_against_union_find(spark):
     assert all(n in got for e in edges if e[0] != e[1] for n in e)
 
 
+def test_loops_that_do_not_converge_are_errors(spark):
+    chain = spark.createDataFrame([(f"c{i:02d}", f"c{i + 1:02d}") for i in range(40)], "a string, b string")
+    with pytest.raises(RuntimeError, match="rounds"):
+        N.connected_components(chain, rounds=1)
+    h = spark.createDataFrame([("a", 5, 10), ("a", 50, 10)], "source string, tokens long, texts long")
+    with pytest.raises(RuntimeError, match="steps"):
+        M.solve_tilts(h, {"a": 100.0}, {"a": 2}, {"a": (550, 20)}, steps=1)
+    assert M.solve_tilts(h, {"a": 100.0}, {"a": 2}, {"a": (550, 20)})["a"][0] == 2
+
+
 def test_names_edge_cases(spark):
     assert N.read_person("Dr.", N.FirstNames([])) is None and N.read_person("   ", N.FirstNames([])) is None
     assert N.read_organisation("Société") is None
