@@ -10,7 +10,7 @@ length; what they share with the others is an ending that no whole text has. So
   context met ``MIN_SEEN`` times decides by the share of its occurrences that end a sentence (for a title: a title).
 
 The second and third test need a smaller proof for a value at a spike. Counts cover every text of the corpus; to keep them small, contexts that no value
-ends with are dropped where they are made, by a Bloom filter of fixed size. The filter is all that is broadcast.
+ends with are dropped where they are made, by a Bloom filter of bounded size. The filter is all that is broadcast.
 
 Defined results: null, empty and blank values, and values of which nothing speaks for a cut, are no cases; equal rows count once. A corpus without any
 context of a value gives no verdict by counts. Values may have any length. A source name that is null is a source of its own.
@@ -22,6 +22,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -34,8 +35,8 @@ from pyspark.sql.window import Window
 from ..session import written
 
 MAX_CONTEXT, MIN_SEEN = 7, 8
-#: Words (of 64 bits) of the Bloom filter.
-BLOOM_WORDS = 1 << 17
+#: Most words (of 64 bits) of the Bloom filter: 32 MB. It grows with what is asked for up to that; beyond, it lets more pass, which changes no result.
+BLOOM_MOST = 1 << 22
 #: A context ends texts when at least this share of its occurrences does: at a spike, elsewhere.
 END_SHARE = {"spike": 0.35, "any": 0.03}
 
@@ -48,10 +49,16 @@ _TOKEN = re.compile(r"\w+(?:['’]\w+)*['’]?|[^\w\s]")
 _END = {".", "?", "!", "…"}
 
 
-def fold(s: str) -> str:
+_COMBINING = re.compile("[" + "".join(c for c in map(chr, range(0x300, 0x110000)) if unicodedata.combining(c)) + "]+")
+
+
+def fold_text(s: str) -> str:
     """Lower case without accents, numbers as 0."""
-    s = unicodedata.normalize("NFKD", s.casefold())
-    return re.sub(r"\d+", "0", "".join(c for c in s if not unicodedata.combining(c))).replace("’", "'")
+    s = s.casefold() if s.isascii() else _COMBINING.sub("", unicodedata.normalize("NFKD", s.casefold()))
+    return re.sub(r"\d+", "0", s).replace("’", "'")
+
+
+fold = lru_cache(maxsize=1 << 16)(fold_text)
 
 
 def _open(text: str) -> bool:
@@ -113,39 +120,86 @@ def final_contexts(field: str, text: str) -> list[int]:
     return [_hash(field, words[-k:]) for k in range(1, min(MAX_CONTEXT, len(words)) + 1)] if last else []
 
 
-def corpus_contexts(field: str, text: str, whole_text: bool) -> Iterator[tuple[int, bool]]:
-    """(hash, does the sentence end there) of each context of a text. The last words of a text without a full stop are no evidence in running text; in
-    titles (``whole_text``) they are the only end."""
-    runs = list(sentences(text))
-    for i, (run, ends) in enumerate(runs):
-        words = ["^", *run]
-        last = len(words) - 1
-        for j in range(1, len(words)):
-            if j == last and not ends and not whole_text and i == len(runs) - 1:
-                break
-            end = j == last and (ends or whole_text or i < len(runs) - 1)
-            for k in range(1, min(MAX_CONTEXT, j + 1) + 1):
-                yield _hash(field, words[j - k + 1 : j + 1]), end
-
-
-def _in_bloom(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    u = h.view(np.uint64)
-    ok = np.ones(len(h), bool)
-    for shift in (0, 23):
-        x = u >> np.uint64(shift)
-        ok &= (bits[(x >> np.uint64(6)) % np.uint64(len(bits))] >> (x & np.uint64(63))) & np.uint64(1) == 1
-    return ok
-
-
-def bloom(hashes: DataFrame) -> np.ndarray:
-    """A Bloom filter, of fixed size, of the column ``h``."""
-    at = lambda s: F.struct(F.pmod(F.shiftrightunsigned(F.col("h"), s + 6), F.lit(BLOOM_WORDS)).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {s}) & 63 as int))").alias("b"))
-    rows = hashes.select(F.explode(F.array(at(0), at(23))).alias("x")).groupBy("x.w").agg(F.bit_or("x.b").alias("b")).toPandas()
-    bits = np.zeros(BLOOM_WORDS, np.uint64)
+class Asked:
+    """A Bloom filter of 64-bit hashes: may one have been asked for? The number of bits is a power of two."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits, self.last = bits.tobytes(), len(bits) * 64 - 1
+
+    def __contains__(self, h: int) -> bool:
+        x, y = h & self.last, h >> 27 & self.last
+        return bool(self.bits[x >> 3] >> (x & 7) & self.bits[y >> 3] >> (y & 7) & 1)
+
+
+def bloom_words(asked: int) -> int:
+    """Words of 64 bits for so many hashes: 16 bits each, up to ``BLOOM_MOST`` words."""
+    return min(BLOOM_MOST, 1 << max(0, (max(asked, 1) * 16 - 1).bit_length() - 6))
+
+
+def bloom(hashes: DataFrame, words: int) -> np.ndarray:
+    """A Bloom filter of so many words, a power of two, of the column ``h``."""
+    at = lambda s: F.struct((F.shiftright(F.col("h"), s + 6).bitwiseAND(F.lit(words - 1))).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(shiftright(h, {s}) & 63 as int))").alias("b"))
+    rows = hashes.select(F.explode(F.array(at(0), at(27))).alias("x")).groupBy("x.w").agg(F.bit_or("x.b").alias("b")).toPandas()
+    bits = np.zeros(words, np.uint64)
     bits[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64).view(np.uint64)
     return bits
 
 
+class Corpus:
+    """Counts, over texts, of the contexts and words that are asked for. A context can only have been asked for if all shorter ones at its place were, so
+    most places are left after one look at a word. ``h`` -> [occurrences, ends, inside, longer]."""
+
+    def __init__(self, asked: Asked) -> None:
+        self.asked = asked
+        self.single: dict[tuple[str, str], int | None] = {}
+        self.parts: dict[str, list[tuple[int, bool]]] = {}
+        self.firsts: dict[str, bool] = {}
+
+    def _one(self, field: str, word: str) -> int | None:
+        if (field, word) not in self.single:
+            self.single[field, word] = h if (h := _hash(field, [word])) in self.asked else None
+        return self.single[field, word]
+
+    def contexts(self, field: str, text: str, whole_text: bool) -> Iterator[tuple[int, bool]]:
+        """(hash, does the sentence end there) of the asked contexts. The last words of a text without a full stop are no evidence in running text; in titles
+        (``whole_text``) they are the only end."""
+        runs = list(sentences(text))
+        for i, (run, ends) in enumerate(runs):
+            final = i == len(runs) - 1
+            last, closed = len(run), ends or whole_text or not final
+            words = ["^", *run]
+            for j in range(1, last + 1):
+                h = self._one(field, words[j])
+                if h is None or j == last and not closed:
+                    continue
+                end = j == last
+                yield h, end
+                for k in range(2, min(MAX_CONTEXT, j + 1) + 1):
+                    if (h := _hash(field, words[j - k + 1 : j + 1])) not in self.asked:
+                        break
+                    yield h, end
+
+    def begun(self, item: str, before: int) -> list[tuple[int, bool]]:
+        """(hash, is it the whole) of the asked beginnings of a word or pair of words, of at least one sign of the last one."""
+        if item not in self.parts:
+            found = ((_hash("w", [item[:k]]), k == len(item)) for k in range(before + 1, len(item) + 1))
+            self.parts[item] = [x for x in found if x[0] in self.asked]
+        return self.parts[item]
+
+    def words(self, text: str, seen: Counter[tuple[str, int]]) -> None:
+        """Words, and pairs whose first word begins an asked pair, but for those at the very end of a text that a cut may have shortened."""
+        bare = LEFT_OUT.sub("", text)
+        words = re.findall(r"\w+", fold_text(bare))
+        if words and (bare != text or not TERMINAL.search(text.rstrip())):
+            words.pop()
+        seen.update((w, 0) for w in words)
+        for a, b in pairwise(words):
+            if a not in self.firsts:
+                self.firsts[a] = _hash("1", [a]) in self.asked
+            if self.firsts[a]:
+                seen[f"{a} {b}", len(a) + 1] += 1
+
+
 def envelope_values(envelope: DataFrame) -> DataFrame:
     """(sha256, chunk_idx, area, field, value): summaries and titles, rows delivered twice once."""
     e = envelope.select(F.col("source.sha256").alias("sha256"), F.col("source.chunk.idx").cast("int").alias("chunk_idx"), F.substring_index("source.path", "/", 1).alias("area"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"note.{f}").alias("value")) for f in ("summary", "title")])).alias("v"))
@@ -173,64 +227,59 @@ def length_spikes(values: DataFrame, *, least: int = 4, times: float = 6.0, arou
 
 
 def _evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds: mark, terminal, the final contexts, and the last word without and with the word before it."""
+    """Adds: mark, terminal, the final contexts, the last word without and with the word before it, and that word; all as hashes."""
     for b in batches:
-        marks, terminal, ctx, word = [], [], [], []
+        marks, terminal, ctx, word, first = [], [], [], [], []
         for field, v in zip(b.column("field").to_pylist(), b.column("value").to_pylist(), strict=True):
             t = v.rstrip()
             marks.append(ending_mark(v))
             terminal.append(bool(TERMINAL.search(t)) or bool(re.search(r"\betc\.?$", t)))
             ctx.append([] if marks[-1] or terminal[-1] else final_contexts(field, v))
             m = re.search(r"(?:(\w+)\W{1,3})?(\w+)$", t)
-            word.append([x for x in (fold(m[2]), m[1] and fold(f"{m[1]} {m[2]}")) if x] if m and not terminal[-1] and not m[2].isdigit() else [])
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks, pa.string()), pa.array(terminal, pa.bool_()), pa.array(ctx, pa.list_(pa.int64())), pa.array(word, pa.list_(pa.string()))], [*b.schema.names, "mark", "terminal", "ctx", "word"])
+            asks = m is not None and not terminal[-1] and not m[2].isdigit()
+            word.append([_hash("w", [fold(x)]) for x in (m[2], m[1] and f"{m[1]} {m[2]}") if x] if asks else [])
+            first.append([_hash("1", [fold(m[1])])] if asks and m[1] else [])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks, pa.string()), pa.array(terminal, pa.bool_()), *[pa.array(x, pa.list_(pa.int64())) for x in (ctx, word, first)]], [*b.schema.names, "mark", "terminal", "ctx", "word", "first"])
 
 
-def _context_counts(bits: np.ndarray):
+def _count_corpus(bits: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        corpus = Corpus(Asked(bits))
         for b in batches:
             seen: Counter[tuple[int, bool]] = Counter()
+            words: Counter[tuple[str, int]] = Counter()
             for field, text, whole in zip(b.column("field").to_pylist(), b.column("text").to_pylist(), b.column("whole_text").to_pylist(), strict=True):
-                seen.update(corpus_contexts(field, text, whole))
-            h = np.fromiter((k[0] for k in seen), np.int64, len(seen))
-            end = np.fromiter((k[1] for k in seen), bool, len(seen))
-            n = np.fromiter(seen.values(), np.int64, len(seen))
-            keep = _in_bloom(bits, h) if len(h) else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(np.where(end, n, 0)[keep]), pa.array(n[keep])], ["h", "ends", "n"])
+                seen.update(corpus.contexts(field, text, whole))
+                corpus.words(text, words)
+            n: dict[int, list[int]] = {}
+            for (h, end), k in seen.items():
+                x = n.setdefault(h, [0, 0, 0, 0])
+                x[0] += k
+                x[1] += k * end
+            for (item, before), k in words.items():
+                for h, whole in corpus.begun(item, before):
+                    n.setdefault(h, [0, 0, 0, 0])[2 if whole else 3] += k
+            if len(corpus.parts) > 1 << 19:
+                corpus.parts.clear()  # what is kept is only kept to be quick
+            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.int64()), *[pa.array([x[i] for x in n.values()], pa.int64()) for i in range(4)]], ["h", "n", "ends", "inside", "longer"])
 
     return run
 
 
-def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, inside): words and pairs of words of the texts, but for those at the very end of a text that a cut may have shortened."""
-    for b in batches:
-        seen: Counter[str] = Counter()
-        for text in b.column("text").to_pylist():
-            bare = LEFT_OUT.sub("", text)
-            words = re.findall(r"\w+", fold(bare))
-            cut = bool(words) and (bare != text or not TERMINAL.search(text.rstrip()))
-            words = words[: len(words) - cut]
-            seen.update(words)
-            seen.update(map(" ".join, pairwise(words)))
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "inside"])
-
-
-def half_words(values: DataFrame, corpus: DataFrame, *, least: int = 3, rare: float = 0.01, longest: int = 40) -> DataFrame:
-    """(word, half): last words, and last pairs of words, of values that stand nowhere inside a text (or ``rare``-ly against longer ones) but begin at
-    least ``least`` occurrences of longer ones."""
-    last = values.select(F.explode("word").alias("word")).distinct()
-    words = written(corpus.select("text").mapInArrow(_words, "word string, inside bigint").groupBy("word").agg(F.sum("inside").alias("inside")), "words")
-    before = F.length(F.regexp_extract("word", "^(.* )", 1))
-    starts = words.filter(F.length("word") > before + 1).select("inside", F.explode(F.sequence(before + 1, F.least(F.length("word") - 1, before + longest))).alias("k"), F.col("word").alias("w"))
-    begun = starts.select(F.expr("left(w, k)").alias("word"), "inside").join(last, "word", "left_semi").groupBy("word").agg(F.sum("inside").alias("longer"))
-    asked = last.join(begun, "word").join(words, "word", "left")
-    return asked.filter((F.col("longer") >= least) & (F.coalesce("inside", F.lit(0)) <= rare * F.col("longer"))).select("word", F.lit(True).alias("half"))
-
-
-def truncation_evidence(values: DataFrame, corpus: DataFrame) -> DataFrame:
-    """The values with their evidence: mark, terminal, spike, half, end_share, seen, and the verdict ``cut``."""
+def corpus_counts(values: DataFrame, corpus: DataFrame) -> DataFrame:
+    """(h, n, ends, inside, longer): over all texts, how often each context that a value ends with occurs and ends a sentence, and how often each last word (or
+    pair) stands inside a text and begins a longer one. One pass; what no value asks for is mostly dropped where it is made, by a Bloom filter."""
+    asked = values.select(F.explode(F.concat("ctx", "word", "first")).alias("h"))
+    bits = bloom(asked, bloom_words(values.agg(F.sum(F.size("ctx") + F.size("word") + F.size("first")).alias("n")).first()["n"] or 0))
+    sums = [F.sum(c).alias(c) for c in ("n", "ends", "inside", "longer")]
+    return corpus.select("field", "text", "whole_text").mapInArrow(_count_corpus(bits), "h bigint, n bigint, ends bigint, inside bigint, longer bigint").groupBy("h").agg(*sums)
+
+
+def truncation_evidence(values: DataFrame, corpus: DataFrame, *, least_longer: int = 3, rare: float = 0.01) -> DataFrame:
+    """The values with their evidence: mark, terminal, spike, half, end_share, seen, and the verdict ``cut``. A last word, or pair of words, is half a word if it
+    begins at least ``least_longer`` occurrences of longer ones and stands inside texts nowhere (or ``rare``-ly against those)."""
     columns = values.columns
-    v = written(values.mapInArrow(_evidence, ", ".join(f"{n} {t}" for n, t in values.dtypes) + ", mark string, terminal boolean, ctx array<bigint>, word array<string>"), "endings")
+    v = written(values.mapInArrow(_evidence, ", ".join(f"{n} {t}" for n, t in values.dtypes) + ", mark string, terminal boolean, ctx array<bigint>, word array<bigint>, first array<bigint>"), "endings")
     spikes = length_spikes(v)
     chars, octets = (spikes.filter(F.col("unit") == u).select("area", "field", F.col("length").alias(f"{u}_at"), F.lit(True).alias(f"{u}_spike")) for u in ("chars", "bytes"))
     at = v.withColumn("chars_at", F.length("value")).withColumn("bytes_at", F.octet_length("value"))
@@ -238,13 +287,13 @@ def truncation_evidence(values: DataFrame, corpus: DataFrame) -> DataFrame:
         s = s.withColumnRenamed("area", "a").withColumnRenamed("field", "f").withColumnRenamed(f"{u}_at", "l")
         at = at.join(s, F.col("area").eqNullSafe(F.col("a")) & (F.col("field") == F.col("f")) & (F.col(f"{u}_at") == F.col("l")), "left").drop("a", "f", "l")
     at = at.withColumn("spike", F.coalesce("chars_spike", "bytes_spike", F.lit(False))).drop("chars_at", "bytes_at", "chars_spike", "bytes_spike")
-    asked = v.select(F.explode("ctx").alias("h"))
-    counted = corpus.select("field", "text", "whole_text").mapInArrow(_context_counts(bloom(asked)), "h bigint, ends bigint, n bigint").groupBy("h").agg(F.sum("ends").alias("ends"), F.sum("n").alias("n"))
-    counted = counted.filter(F.col("n") >= MIN_SEEN)
-    deep = v.select("field", F.posexplode("ctx").alias("k", "h")).select("field", "h", "k").distinct()
-    best = v.select("sha256", "chunk_idx", "field", "value", F.posexplode("ctx").alias("k", "h")).join(counted.join(deep.select("h").distinct(), "h", "left_semi"), "h").groupBy("sha256", "chunk_idx", "field", "value").agg(F.max_by(F.struct("ends", "n", "k"), "k").alias("best"), F.min_by(F.struct("ends", "n", "k"), "k").alias("word1"))
-    halves = v.select("sha256", "chunk_idx", "field", "value", F.explode("word").alias("word")).join(half_words(v, corpus), "word").groupBy("sha256", "chunk_idx", "field", "value").agg(F.lit(True).alias("half"))
-    out = at.join(best, ["sha256", "chunk_idx", "field", "value"], "left").join(halves, ["sha256", "chunk_idx", "field", "value"], "left")
+    counted = written(corpus_counts(v, corpus), "corpus-counts")
+    contexts = counted.filter(F.col("n") >= MIN_SEEN).select("h", "ends", "n")
+    key = ["sha256", "chunk_idx", "field", "value"]
+    best = v.select(*key, F.posexplode("ctx").alias("k", "h")).join(contexts, "h").groupBy(*key).agg(F.max_by(F.struct("ends", "n", "k"), "k").alias("best"), F.min_by(F.struct("ends", "n", "k"), "k").alias("word1"))
+    half = counted.filter((F.col("longer") >= least_longer) & (F.col("inside") <= rare * F.col("longer"))).select("h")
+    halves = v.select(*key, F.explode("word").alias("h")).join(half, "h", "left_semi").select(*key).distinct().withColumn("half", F.lit(True))
+    out = at.join(best, key, "left").join(halves, key, "left")
     # A title counts its own end; that end is no evidence.
     share = F.greatest(F.col("best.ends") - F.when(F.col("field") == "title", 1).otherwise(0), F.lit(0)) / F.col("best.n")
     # A last word that, however often met, never ends a text: an article, a preposition.

@@ -87,6 +87,37 @@ def test_truncation_of_an_empty_table(spark):
     assert T.truncation_evidence(T.envelope_values(e), T.envelope_corpus(e)).count() == 0
 
 
+def test_corpus_counts_are_those_of_all_contexts(spark):
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(["le", "la", "chat", "Été.", "maison", "maisonnette", "dort,", "12"]) for _ in range(rnd.randint(0, 30))) for _ in range(60)]
+    rows = [(str(i), 0, "A", "summary", t) for i, t in enumerate(texts) if t] + [("t", 0, "A", "title", "le chat"), ("u", 0, "A", "summary", "la mai")]
+    values = spark.createDataFrame(rows, "sha256 string, chunk_idx int, area string, field string, value string")
+    v = values.mapInArrow(T._evidence, "sha256 string, chunk_idx int, area string, field string, value string, mark string, terminal boolean, ctx array<bigint>, word array<bigint>, first array<bigint>")
+    corpus = spark.createDataFrame([("summary", t, False) for t in texts] + [("title", "le chat", True)], "field string, text string, whole_text boolean")
+    got = {r["h"]: (r["n"], r["ends"]) for r in T.corpus_counts(v, corpus).collect() if r["n"]}
+    asked = {h for r in v.collect() for h in r["ctx"]}
+    want: dict[int, list[int]] = {}
+    for field, text, whole in [("summary", t, False) for t in texts] + [("title", "le chat", True)]:
+        runs = list(T.sentences(text))
+        for i, (run, ends) in enumerate(runs):
+            words = ["^", *run]
+            for j in range(1, len(words)):
+                last = j == len(run)
+                if last and not ends and not whole and i == len(runs) - 1:
+                    break
+                for k in range(1, min(T.MAX_CONTEXT, j + 1) + 1):
+                    x = want.setdefault(T._hash(field, words[j - k + 1 : j + 1]), [0, 0])
+                    x[0] += 1
+                    x[1] += last
+    assert {h: tuple(x) for h, x in want.items() if h in asked} == {h: x for h, x in got.items() if h in asked}
+    assert T.bloom_words(0) == 1 and T.bloom_words(10**12) == T.BLOOM_MOST and T.bloom_words(1000) == 256
+
+
+def test_a_word_cut_after_many_signs_is_half(spark):
+    long = "anticonstitutionnellement" * 3
+    assert truncation(spark, [("a", 0, "A", "summary", f"Le mot {long[:60]}")], [("summary", f"Le mot {long} finit.")] * 4) == {"a": "word"}
+
+
 @pytest.mark.parametrize("text", ["", "court", "phrase une. " * 400, "x" * 5000, "mot " * 900, ("# Titre\n" + "Une phrase ici. " * 30 + "\n\n") * 9, "é" * 2000, "a\r\n" * 2000, "long texte " * 300])
 def test_pieces_cover_the_text_within_the_limit(text):
     got = S.split_text(text, 1800, 120)
