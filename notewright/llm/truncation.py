@@ -21,8 +21,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import pairwise
 
 import numpy as np
@@ -46,19 +45,20 @@ BROKEN = re.compile(r"(?:�|&#?\w{0,9}|<[^<>]{0,60}|\]?\[[^\[\]]*|\*\*[^*]*|`[^
 TERMINAL = re.compile(r"[.?!。]['\"»”’)\]]*$")
 PAIRS = {"(": ")", "[": "]", "{": "}", "«": "»", "“": "”", "„": "“", "‹": "›"}
 _TOKEN = re.compile(r"\w+(?:['’]\w+)*['’]?|[^\w\s]")
-_END = {".", "?", "!", "…"}
 
 
-_COMBINING = re.compile("[" + "".join(c for c in map(chr, range(0x300, 0x110000)) if unicodedata.combining(c)) + "]+")
+_DIGITS = re.compile(r"\d+")
 
 
 def fold_text(s: str) -> str:
     """Lower case without accents, numbers as 0."""
-    s = s.casefold() if s.isascii() else _COMBINING.sub("", unicodedata.normalize("NFKD", s.casefold()))
-    return re.sub(r"\d+", "0", s).replace("’", "'")
-
-
-fold = lru_cache(maxsize=1 << 16)(fold_text)
+    s = s.casefold()
+    if not s.isascii():
+        s = unicodedata.normalize("NFKD", s)
+        for c in {*s}:
+            if c > "\u02ff" and unicodedata.combining(c):
+                s = s.replace(c, "")
+    return _DIGITS.sub("0", s).replace("’", "'")
 
 
 def _open(text: str) -> bool:
@@ -92,22 +92,37 @@ def ending_mark(text: str) -> str | None:
     return None
 
 
+class _Folded(dict[str, str]):
+    """Folded tokens, each worked out once."""
+
+    def __missing__(self, t: str) -> str:
+        if len(self) > 1 << 17:
+            self.clear()
+        self[t] = x = fold_text(t)
+        return x
+
+
+_FOLDED = _Folded()
+_STOPS = re.compile(r"[.?!…]+")
+_LINES = re.compile(r"[\r\n]+| / ")
+
+
 def sentences(text: str) -> Iterator[tuple[list[str], bool]]:
     """(tokens from the last sentence end on, does it end there) of each sentence."""
-    for line in re.split(r"[\r\n]+| / ", text):
-        run: list[str] = []
-        for t in _TOKEN.findall(line):
-            if t in _END:
-                if run:
-                    yield run, True
-                run = []
-            else:
-                run.append(fold(t))
-        if run:
-            yield run, False
-
-
-def _hash(field: str, words: list[str]) -> int:
+    for line in _LINES.split(text):
+        parts = _STOPS.split(line)
+        for i, part in enumerate(parts):
+            if run := [_FOLDED[t] for t in _TOKEN.findall(part)]:
+                yield run, i < len(parts) - 1
+
+
+def without_mark(text: str) -> str:
+    """The text without a mark that the rest was left out; texts that cannot end with one are not searched."""
+    end = text.rstrip()[-3:]
+    return LEFT_OUT.sub("", text) if end[-1:] in "…)]>eEsS" or end in ("...", ". .") else text
+
+
+def _hash(field: str, words: Sequence[str]) -> int:
     return xxhash.xxh64_intdigest(field + "\x1f" + " ".join(words)) - (1 << 63)
 
 
@@ -145,39 +160,63 @@ def bloom(hashes: DataFrame, words: int) -> np.ndarray:
     return bits
 
 
+class _Firsts(dict[str, bool]):
+    """Does a word begin an asked pair of words? Each is looked up once."""
+
+    def __init__(self, asked: Asked) -> None:
+        self.asked = asked
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) > 1 << 19:
+            self.clear()
+        self[word] = x = _hash("1", [word]) in self.asked
+        return x
+
+
+class _Contexts(dict[tuple[str, ...], int | None]):
+    """The hashes of contexts that were asked for, null for others; each is looked up once."""
+
+    def __init__(self, field: str, asked: Asked) -> None:
+        self.field, self.asked = field, asked
+
+    def __missing__(self, words: tuple[str, ...]) -> int | None:
+        if len(self) > 1 << 19:
+            self.clear()
+        self[words] = x = h if (h := _hash(self.field, words)) in self.asked else None
+        return x
+
+
 class Corpus:
-    """Counts, over texts, of the contexts and words that are asked for. A context can only have been asked for if all shorter ones at its place were, so
-    most places are left after one look at a word. ``h`` -> [occurrences, ends, inside, longer]."""
+    """Counts, over texts, of the contexts and words that are asked for. A context can only have been asked for if all shorter ones at its place were: pairs of
+    words are counted first and looked up once each, and only where a pair was asked for are longer contexts looked at."""
 
     def __init__(self, asked: Asked) -> None:
         self.asked = asked
-        self.single: dict[tuple[str, str], int | None] = {}
+        self.known: dict[str, _Contexts] = {}
         self.parts: dict[str, list[tuple[int, bool]]] = {}
-        self.firsts: dict[str, bool] = {}
-
-    def _one(self, field: str, word: str) -> int | None:
-        if (field, word) not in self.single:
-            self.single[field, word] = h if (h := _hash(field, [word])) in self.asked else None
-        return self.single[field, word]
+        self.firsts = _Firsts(asked)
 
-    def contexts(self, field: str, text: str, whole_text: bool) -> Iterator[tuple[int, bool]]:
-        """(hash, does the sentence end there) of the asked contexts. The last words of a text without a full stop are no evidence in running text; in titles
-        (``whole_text``) they are the only end."""
+    def contexts(self, field: str, text: str, whole_text: bool, pairs: Counter[tuple[str, str]], ends_in: Counter[tuple[str, str]], longer: Counter[tuple[int, bool]]) -> None:
+        """Adds the pairs (word before, word), those that end a sentence apart, and the asked contexts of three words or more. The last words of a text
+        without a full stop are no evidence in running text; in titles (``whole_text``) they are the only end."""
         runs = list(sentences(text))
+        inner: list[tuple[str, str]] = []
+        known = self.known.setdefault(field, _Contexts(field, self.asked))
         for i, (run, ends) in enumerate(runs):
-            final = i == len(runs) - 1
-            last, closed = len(run), ends or whole_text or not final
-            words = ["^", *run]
-            for j in range(1, last + 1):
-                h = self._one(field, words[j])
-                if h is None or j == last and not closed:
-                    continue
-                end = j == last
-                yield h, end
-                for k in range(2, min(MAX_CONTEXT, j + 1) + 1):
-                    if (h := _hash(field, words[j - k + 1 : j + 1])) not in self.asked:
+            words = ("^", *run)
+            two = list(zip(words, run))  # noqa: B905
+            closed = ends or whole_text or i < len(runs) - 1
+            last = two.pop()
+            inner += two
+            if closed:
+                ends_in[last] += 1
+                two.append(last)
+            for j in [j for j, p in enumerate(two, 1) if known[p] is not None]:
+                for k in range(3, min(MAX_CONTEXT, j + 1) + 1):
+                    if (h := known[words[j - k + 1 : j + 1]]) is None:
                         break
-                    yield h, end
+                    longer[h, j == len(run)] += 1
+        pairs.update(inner)
 
     def begun(self, item: str, before: int) -> list[tuple[int, bool]]:
         """(hash, is it the whole) of the asked beginnings of a word or pair of words, of at least one sign of the last one."""
@@ -186,18 +225,14 @@ class Corpus:
             self.parts[item] = [x for x in found if x[0] in self.asked]
         return self.parts[item]
 
-    def words(self, text: str, seen: Counter[tuple[str, int]]) -> None:
+    def words(self, text: str, seen: Counter[str | tuple[str, str]]) -> None:
         """Words, and pairs whose first word begins an asked pair, but for those at the very end of a text that a cut may have shortened."""
-        bare = LEFT_OUT.sub("", text)
+        bare = without_mark(text)
         words = re.findall(r"\w+", fold_text(bare))
         if words and (bare != text or not TERMINAL.search(text.rstrip())):
             words.pop()
-        seen.update((w, 0) for w in words)
-        for a, b in pairwise(words):
-            if a not in self.firsts:
-                self.firsts[a] = _hash("1", [a]) in self.asked
-            if self.firsts[a]:
-                seen[f"{a} {b}", len(a) + 1] += 1
+        seen.update(words)
+        seen.update([p for p in pairwise(words) if self.firsts[p[0]]])
 
 
 def envelope_values(envelope: DataFrame) -> DataFrame:
@@ -237,8 +272,8 @@ def _evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ctx.append([] if marks[-1] or terminal[-1] else final_contexts(field, v))
             m = re.search(r"(?:(\w+)\W{1,3})?(\w+)$", t)
             asks = m is not None and not terminal[-1] and not m[2].isdigit()
-            word.append([_hash("w", [fold(x)]) for x in (m[2], m[1] and f"{m[1]} {m[2]}") if x] if asks else [])
-            first.append([_hash("1", [fold(m[1])])] if asks and m[1] else [])
+            word.append([_hash("w", [fold_text(x)]) for x in (m[2], m[1] and f"{m[1]} {m[2]}") if x] if asks else [])
+            first.append([_hash("1", [fold_text(m[1])])] if asks and m[1] else [])
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(marks, pa.string()), pa.array(terminal, pa.bool_()), *[pa.array(x, pa.list_(pa.int64())) for x in (ctx, word, first)]], [*b.schema.names, "mark", "terminal", "ctx", "word", "first"])
 
 
@@ -246,18 +281,23 @@ def _count_corpus(bits: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         corpus = Corpus(Asked(bits))
         for b in batches:
+            pairs: dict[str, tuple[Counter[tuple[str, str]], Counter[tuple[str, str]]]] = {}
             seen: Counter[tuple[int, bool]] = Counter()
-            words: Counter[tuple[str, int]] = Counter()
+            words: Counter[str | tuple[str, str]] = Counter()
             for field, text, whole in zip(b.column("field").to_pylist(), b.column("text").to_pylist(), b.column("whole_text").to_pylist(), strict=True):
-                seen.update(corpus.contexts(field, text, whole))
+                corpus.contexts(field, text, whole, *pairs.setdefault(field, (Counter(), Counter())), seen)
                 corpus.words(text, words)
+            for field, end, pair, k in ((f, e, p, k) for f, both in pairs.items() for e, c in zip((False, True), both, strict=True) for p, k in c.items()):
+                for words_ in (pair[1:], pair):
+                    if (h := corpus.known[field][words_]) is not None:
+                        seen[h, end] += k
             n: dict[int, list[int]] = {}
             for (h, end), k in seen.items():
                 x = n.setdefault(h, [0, 0, 0, 0])
                 x[0] += k
                 x[1] += k * end
-            for (item, before), k in words.items():
-                for h, whole in corpus.begun(item, before):
+            for item, k in words.items():
+                for h, whole in corpus.begun(item, 0) if isinstance(item, str) else corpus.begun(" ".join(item), len(item[0]) + 1):
                     n.setdefault(h, [0, 0, 0, 0])[2 if whole else 3] += k
             if len(corpus.parts) > 1 << 19:
                 corpus.parts.clear()  # what is kept is only kept to be quick
