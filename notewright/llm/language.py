@@ -19,8 +19,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,31 +73,46 @@ def split_sentences(text: str) -> list[tuple[int, int]]:
 
 
 def _plain(s: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", s.casefold()) if not unicodedata.combining(c))
+    s = s.casefold()
+    return s if s.isascii() else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
+
+
+class _Kept(dict):
+    """What a function gives for a word, worked out once each."""
+
+    def __init__(self, f: Callable[[str], object]) -> None:
+        self.f = f
+
+    def __missing__(self, word: str) -> object:
+        if len(self) > 1 << 17:
+            self.clear()
+        self[word] = x = self.f(word)
+        return x
+
+
+_PLAIN = _Kept(_plain)
 
 
 def content_words(sentence: str) -> list[str]:
     """The words that tell the language, folded: without quotations, links, names and a word that the end cuts off."""
     s = _QUOTED.sub(" ", sentence)
-    shouted = s.upper() == s
-    words = []
-    for i, m in enumerate(_WORD.finditer(s)):
-        w = m[0]
-        if i and not shouted and w[0].isupper():
-            continue
-        words.append(_plain(w))
-    return words
+    words = _WORD.findall(s)
+    if s.upper() == s:
+        return [_PLAIN[w] for w in words]
+    return [_PLAIN[w] for w in words[:1]] + [_PLAIN[w] for w in words[1:] if not w[0].isupper()]
+
+
+def _word_grams(w: str) -> list[str]:
+    p = f" {w} "
+    return [g for n in range(1, MAX_N + 1) for i in range(len(p) - n + 1) if (g := p[i : i + n]) != " "]
+
+
+_GRAMS = _Kept(_word_grams)
 
 
 def grams(words: Iterable[str]) -> Counter[str]:
     """Counts of the n-grams of the words, padded with blanks."""
-    c: Counter[str] = Counter()
-    for w in words:
-        p = f" {w} "
-        for n in range(1, MAX_N + 1):
-            c.update(p[i : i + n] for i in range(len(p) - n + 1))
-    c.pop(" ", None)
-    return c
+    return Counter(chain.from_iterable(map(_GRAMS.__getitem__, words)))
 
 
 class Seeds:
@@ -108,17 +125,16 @@ class Seeds:
                 langs.setdefault(_plain(word), set()).add(lang)
         self.weights = {w: {x: 1 / len(ls) ** 2 for x in ls} for w, ls in langs.items()}
 
-    def score(self, words: Iterable[str]) -> Counter[str]:
-        c: Counter[str] = Counter()
-        for w in words:
-            for lang, x in self.weights.get(w, {}).items():
-                c[lang] += x
-        return c
-
     def sure(self, words: list[str]) -> str | None:
         """The language whose common words clearly outweigh the others'."""
-        top = self.score(words).most_common(2)
-        return top[0][0] if top and top[0][1] >= 1.5 and (len(top) < 2 or top[0][1] >= 1.6 * top[1][1]) else None
+        scores: dict[str, float] = {}
+        for known in filter(None, map(self.weights.get, words)):
+            for lang, x in known.items():
+                scores[lang] = scores.get(lang, 0.0) + x
+        top = sorted(scores.values(), reverse=True)
+        if not top or top[0] < 1.5 or len(top) > 1 and top[0] < 1.6 * top[1]:
+            return None
+        return max(scores, key=scores.__getitem__)
 
 
 #: Everyday words of short notes, beside the table of common words. Fixed values.
@@ -137,17 +153,24 @@ class Profiles:
 
     def __init__(self, ranks: dict[str, dict[str, int]], words: dict[str, dict[str, float]]) -> None:
         self.ranks, self.words = ranks, words
+        self.languages = list(ranks)
+        self.rows = {g: i for i, g in enumerate(sorted({g for r in ranks.values() for g in r}))}
+        #: table[i, l]: the rank of the i-th n-gram in the l-th language; what a profile lacks, and the last row, is further off than any rank.
+        self.table = np.full((len(self.rows) + 1, len(ranks)), 1 << 40, np.int64)
+        for at, r in enumerate(ranks.values()):
+            self.table[[self.rows[g] for g in r], at] = list(r.values())
 
     def distances(self, words: list[str]) -> dict[str, float]:
         """Out-of-place distance to each language, as a share of the greatest possible."""
-        ranked = [g for g, _ in sorted(grams(words).items(), key=lambda x: (-x[1], x[0]))]
-        if not ranked:
+        n = grams(words)
+        if not n:
             return {}
-        out = {}
-        for lang, ranks in self.ranks.items():
-            far = PROFILE_SIZE
-            out[lang] = sum(min(abs(ranks[g] - r), far) if g in ranks else far for r, g in enumerate(ranked)) / (far * len(ranked))
-        return out
+        ranked = sorted(n)
+        ranked.sort(key=n.__getitem__, reverse=True)  # equal counts stay in the order of the n-grams
+        unknown, far = len(self.rows), PROFILE_SIZE
+        place = self.table[[self.rows.get(g, unknown) for g in ranked]] - np.arange(len(ranked))[:, None]
+        apart = np.minimum(np.abs(place), far).sum(axis=0)
+        return {lang: int(x) / (far * len(ranked)) for lang, x in zip(self.languages, apart, strict=True)}
 
     def judge(self, sentence: str) -> tuple[str | None, float, int]:
         """(language, confidence, letters that it rests on)."""
@@ -181,9 +204,12 @@ class Profiles:
         if not sure:
             return []
         out: list[list] = []
+        at = 0  # the first sure sentence that is not before this one
         for i, (a, b, lang, conf, letters) in enumerate(found):
-            if i not in sure:
-                near = min(sure, key=lambda j: (abs(j - i), j > i))
+            while at < len(sure) and sure[at] < i:
+                at += 1
+            if at == len(sure) or sure[at] != i:
+                near = min(sure[max(0, at - 1) : at + 1], key=lambda j: (abs(j - i), j > i))
                 lang, conf, letters = found[near][2], 0.0, 0
             if out and out[-1][2] == lang:
                 out[-1][1] = b
@@ -197,29 +223,45 @@ class Profiles:
 def _train(seeds: Seeds):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            by_word: Counter[tuple[str, str]] = Counter()
+            n: Counter[tuple[str, str]] = Counter()
             for text in b.column(0).to_pylist():
                 for a, z in split_sentences(text or ""):
                     words = content_words(text[a:z])
                     if lang := seeds.sure(words):
-                        by_word.update((lang, w) for w in words)
-            n: Counter[tuple[str, str, str]] = Counter()
-            for (lang, w), k in by_word.items():
-                n[lang, "word", w] += k
-                for g, j in grams([w]).items():
-                    n[lang, "gram", g] += j * k
-            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in n], pa.string()) for i in range(3)] + [pa.array(list(n.values()), pa.int64())], ["lang", "kind", "item", "n"])
+                        n.update((lang, w) for w in words)
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in n], pa.string()) for i in range(2)] + [pa.array(list(n.values()), pa.int64())], ["lang", "item", "n"])
 
     return run
 
 
+def _cut_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, kind, item, n): the words themselves and their n-grams."""
+    for b in batches:
+        n: Counter[tuple[str, str, str]] = Counter()
+        for lang, w, k in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            n[lang, "word", w] += k
+            for g in _GRAMS[w]:
+                n[lang, "gram", g] += k
+        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in n], pa.string()) for i in range(3)] + [pa.array(list(n.values()), pa.int64())], ["lang", "kind", "item", "n"])
+
+
+def most_frequent(counted: DataFrame, group: list[str], most: Column, *, buckets: int = 64) -> DataFrame:
+    """The ``most`` rows of each group by ``n``, equal ones by ``item``, with their place ``r``. First within buckets of hash space, then among what these
+    leave, so that no task sorts a whole group."""
+    order = [F.desc("n"), "item"]
+    first = counted.withColumn("bucket", F.pmod(F.xxhash64("item"), F.lit(buckets)))
+    first = first.withColumn("r", F.row_number().over(Window.partitionBy(*group, "bucket").orderBy(*order))).filter(F.col("r") <= most).drop("bucket", "r")
+    return first.withColumn("r", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("r") <= most)
+
+
 def train_profiles(texts: DataFrame, text: Column, common_words: DataFrame, *, size: int = PROFILE_SIZE, words: int = 3000) -> Profiles:
     """Profiles learnt from all the texts. ``words``: so many most frequent words of each language are kept for the exact check."""
     rows = common_words.select("lang", "word").filter(F.col("lang").isin(list(LANGUAGES))).distinct().collect()  # the fixed table of common words
     seeds = Seeds([*((r.lang, r.word) for r in rows), *((x, w) for x, ws in EVERYDAY.items() for w in ws.split())])
-    counted = texts.select(text.alias("text")).mapInArrow(_train(seeds), "lang string, kind string, item string, n bigint").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
-    w = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    top = counted.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= F.when(F.col("kind") == "gram", size).otherwise(words)).filter(F.col("r") <= max(size, words)).toPandas()
+    # Words are summed up first: each is cut into n-grams once, not once a batch.
+    seen = texts.select(text.alias("text")).mapInArrow(_train(seeds), "lang string, item string, n bigint").groupBy("lang", "item").agg(F.sum("n").alias("n"))
+    counted = seen.mapInArrow(_cut_grams, "lang string, kind string, item string, n bigint").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
+    top = most_frequent(counted, ["lang", "kind"], F.when(F.col("kind") == "gram", size).otherwise(words)).toPandas()
     ranks: dict[str, dict[str, int]] = {x: {} for x in LANGUAGES}
     share: dict[str, dict[str, float]] = {}
     totals = top[top.kind == "word"].groupby("lang").n.sum().to_dict()

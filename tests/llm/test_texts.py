@@ -58,6 +58,28 @@ def test_untrained_profiles_still_know_common_words(spark):
     assert set(p.ranks) == set(L.LANGUAGES) and all(p.ranks.values())
 
 
+def test_distances_are_the_sums_of_rank_differences(profiles):
+    words = L.content_words(FR + EN + "Ça zzqj 12 coûte")
+    ranked = [g for g, _ in sorted(L.grams(words).items(), key=lambda x: (-x[1], x[0]))]
+    far = L.PROFILE_SIZE
+    want = {x: sum(min(abs(r[g] - i), far) if g in r else far for i, g in enumerate(ranked)) / (far * len(ranked)) for x, r in profiles.ranks.items()}
+    assert profiles.distances(words) == pytest.approx(want) and profiles.distances([]) == {}
+
+
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_most_frequent_in_two_steps(spark, buckets):
+    rnd = random.Random(9)
+    rows = {(g, f"i{i}"): rnd.randint(1, 9) for g in "ab" for i in range(80)}
+    got = L.most_frequent(spark.createDataFrame([(*k, n) for k, n in rows.items()], "g string, item string, n int"), ["g"], F.when(F.col("g") == "a", 12).otherwise(30), buckets=buckets).collect()
+    want = {g: [i for (x, i), _ in sorted(rows.items(), key=lambda e: (-e[1], e[0][1])) if x == g][: {"a": 12, "b": 30}[g]] for g in "ab"}
+    assert {g: [r["item"] for r in sorted(got, key=lambda r: r["r"]) if r["g"] == g] for g in "ab"} == want
+
+
+def test_fragments_take_the_nearest_sentence(profiles):
+    assert [s[2] for s in profiles.segments(FR + "12. 3. " + EN + "4. 5.")] == ["fr", "en"]
+    assert [s[2] for s in profiles.segments("\n".join([FR, "7."] * 2000))] == ["fr"]
+
+
 def test_ending_marks():
     cut = ["fin du tr…", "la suite [...]", "rejetés (…)", "Voir [[Déco", "Voir « les entités", 'dit "le cache', "Voir Déco&eacut", "plafond de requ�", "avec (une", "le **gras", "un, deux,"]
     assert all(T.ending_mark(t) for t in cut)
