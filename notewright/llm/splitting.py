@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 BLOCK = 3
 #: Between two units: the white space after a sentence end, line ends, paragraph breaks.
-_GAP = re.compile(r"(?<=[.?!…:;])[\"»”)]?[^\S\r\n]+(?=\S)|[^\S\r\n]*(?:\r?\n[^\S\r\n]*)+")
+_GAP = re.compile(r"(?<=[.?!…:;])[\"»”)]?[^\S\r\n]+(?=\S)|(?<![^\S\r\n])[^\S\r\n]*(?:\r?\n[^\S\r\n]*)+")
 _WORD = re.compile(r"[^\W\d_]{2,}")
 _FENCE = re.compile(r"^ *(?:```|~~~)", re.M)
 
@@ -48,8 +48,8 @@ def gaps(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def depths(text: str, places: list[int]) -> np.ndarray:
-    """Of each gap: how far the likeness of the blocks around it lies below the peaks on either side."""
+def likeness(text: str, places: list[int]) -> np.ndarray:
+    """Of each gap: the cosine of the word counts of the blocks before and after it."""
     bounds = [0, *places, len(text)]
     bags = [Counter(w.lower() for w in _WORD.findall(text, a, b)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     like = np.zeros(len(places))
@@ -61,14 +61,21 @@ def depths(text: str, places: list[int]) -> np.ndarray:
             right.update(bag)
         norm = (sum(v * v for v in left.values()) * sum(v * v for v in right.values())) ** 0.5
         like[i] = sum(v * right[w] for w, v in left.items() if w in right) / norm if norm else 0.0
-    deep = np.zeros(len(places))
-    for i, s in enumerate(like):
-        for step in (-1, 1):
-            peak, j = s, i + step
-            while 0 <= j < len(like) and like[j] >= peak:
-                peak, j = like[j], j + step
-            deep[i] += peak - s
-    return deep
+    return like
+
+
+def depths(text: str, places: list[int]) -> np.ndarray:
+    """Of each gap: how far the likeness of the blocks around it lies below the peaks on either side."""
+    like = likeness(text, places)
+    # The peak on a side is where the curve, followed from the gap, first falls: each gap has that of its neighbour unless the neighbour lies lower.
+    peak_l, peak_r = like.tolist(), like.tolist()
+    for i in range(1, len(like)):
+        if like[i - 1] >= like[i]:
+            peak_l[i] = peak_l[i - 1]
+    for i in range(len(like) - 2, -1, -1):
+        if like[i + 1] >= like[i]:
+            peak_r[i] = peak_r[i + 1]
+    return np.array(peak_l) + np.array(peak_r) - 2 * like
 
 
 def _hard(text: str, at: int, least: int) -> int:
@@ -92,7 +99,8 @@ def split_text(text: str, limit: int, overlap: int) -> list[tuple[int, int, bool
     while len(text) - start > limit:
         end, natural = None, True
         for lo, hi in ((start + limit // 2, start + limit), (start + overlap + 1, start + limit // 2)):
-            at = np.flatnonzero((places > max(lo, start + overlap)) & (places <= hi) & (strength > 0))
+            first, after = np.searchsorted(places, (max(lo, start + overlap), hi), "right")
+            at = first + np.flatnonzero(strength[first:after] > 0)
             if len(at):
                 end = int(places[max(at, key=lambda i: (deep[i], strength[i], places[i]))])
                 break

@@ -153,6 +153,31 @@ def test_pieces_cover_the_text_within_the_limit(text):
     assert not any(text[e : e + 1] == "́" for _, e, _ in got)
 
 
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    for text in ("mot. " * 60_000, "a b\n" * 60_000, " " * 300_000, "x" * 300_000):
+        began = time.perf_counter()
+        assert S.split_text(text, 1800, 120)[-1][1] == len(text)
+        assert time.perf_counter() - began < 10
+
+
+def test_depths_against_walks_to_the_peaks():
+    rnd = random.Random(2)
+    text = " ".join(rnd.choice(["le chat dort.", "il pleut ici.", "on va au bois.", "oui."]) for _ in range(120))
+    places = [p for p, _ in S.gaps(text)]
+    like, want = S.likeness(text, places), []
+    for i, s in enumerate(like):
+        deep = 0.0
+        for step in (-1, 1):
+            peak, j = s, i + step
+            while 0 <= j < len(like) and like[j] >= peak:
+                peak, j = like[j], j + step
+            deep += peak - s
+        want.append(deep)
+    assert S.depths(text, places) == pytest.approx(want)
+
+
 def test_pieces_end_at_a_change_of_topic():
     one, two = "Le chat dort dans la maison du voisin. " * 30, "Les serveurs calculent des modèles chaque nuit. " * 30
     assert S.split_text(one + two, 1800, 100)[0][1] == len(one)
