@@ -9,7 +9,8 @@ under its spelling with signs left out (``spelling_keys``), which brings togethe
 Jaro-Winkler and by edit distance. Forms of accepted cores are linked when their qualifiers agree. A form without a first name, or with an initial, is linked only if a single
 fuller form agrees with it. Slugs, forms and links are clustered by connected components (alternating large-star and small-star, written after each round).
 
-Nothing grows with the square of a group: equal forms are one node, forms are linked to one representative of their core and qualifiers.
+Nothing grows with the square of a group: equal forms are one node; the forms of a surname meet by the spellings of their first names, not all with all. First
+names are counted, corrected and looked up by joins, whatever their number.
 
 Defined results: null and blank names and slugs are left out; an alias counts as a name of its slug when it is a full name; names of one slug are one entity.
 Names of which nothing is left but titles or kinds are not linked. Empty tables give no pairs. Names of any length are read whole.
@@ -19,12 +20,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..session import written
 
 #: Short forms of first names. Fixed values.
@@ -149,48 +152,35 @@ def spelling_keys(core: str) -> list[str]:
 
 
 class FirstNames:
-    """Known first names: of the table, and those that stand before many different surnames."""
-
-    def __init__(self, counted: Iterable[tuple[str, int]]) -> None:
-        n = dict(counted)
-        known = {*NICKNAMES, *_FORMAL}
-        for name, k in n.items():
-            if name not in known and len(name) > 2 and not any(20 * k < n.get(m, 0) and edits(name, m, 1) <= 1 for m in known if abs(len(m) - len(name)) <= 1):
-                known.add(name)
-        self.known = known
-        self.glued = {k.replace("-", ""): k for k in known if len(k) >= 4}
-        self.near: dict[str, str] = {}
+    """How tokens read as first names: token -> (the formal first name, how it is known: as it stands, glued together, or near one)."""
+
+    def __init__(self, readings: Iterable[tuple[str, str, str]] = ()) -> None:
+        self.readings = {t: (formal, how) for t, formal, how in readings}
+
+    def known(self, token: str) -> bool:
+        return self.readings.get(token, (None, ""))[1] == "known"
 
     def formal(self, token: str) -> str | None:
         """The first name that a token is: known as such, short for one, or close to one."""
-        token = _FORMAL.get(token, token)
-        if token in self.known:
-            return token
-        if token.replace("-", "") in self.glued and len(token) > 4:
-            return _FORMAL.get(k := self.glued[token.replace("-", "")], k)
-        if len(token) < 4:
-            return None
-        if token not in self.near:
-            t = token.translate(_OCR)
-            close = sorted(((jaro_winkler(t, k), k) for k in self.known if len(k) > 3 and abs(len(k) - len(t)) <= 2), reverse=True)[:1]
-            self.near[token] = close[0][1] if close and close[0][0] >= 0.9 and edits(t, close[0][1], 2) <= (1 if len(t) < 6 else 2) else ""
-        k = self.near[token]
-        return _FORMAL.get(k, k) if k else None
+        return self.readings.get(token, (None, ""))[0]
 
     def split(self, token: str) -> tuple[str, str] | None:
         """A first name and a surname written as one, or joined by a hyphen."""
         for i in range(len(token) - 4, 3, -1):
-            if token[i] == "-" and (f := self.formal(token[:i])) and token[:i] not in ("",):
+            if token[i] == "-" and (f := self.formal(token[:i])):
                 return f, token[i + 1 :]
         for i in range(len(token) - 5, 4, -1):
-            if token[:i] in self.glued:
-                k = self.glued[token[:i]]
-                return _FORMAL.get(k, k), token[i:].lstrip("-")
+            f, how = self.readings.get(token[:i], (None, ""))
+            if f and how in ("known", "glued") and "-" not in token[:i]:
+                return f, token[i:].lstrip("-")
         return None
 
 
-def read_person(name: str, firsts: FirstNames) -> tuple[str, str, str] | None:
-    """(core, first name or initial or '', middle initial) of a person's name."""
+_INITIAL = re.compile(r"[a-z](?:\.|-[a-z]\.?)?|a-s\.|m-c\.|j-b\.")
+
+
+def _person_tokens(name: str) -> tuple[tuple[str, str] | None, list[str]]:
+    """(initial and surname of a user name, or null; the tokens, first names first where a comma or bracket tells)."""
     s = fold(name)
     comma = re.match(r"([^,]+),\s*(.+)$", s)
     bracket = re.match(r"(.+?)\s*\((.+)\)\s*$", s)
@@ -199,16 +189,36 @@ def read_person(name: str, firsts: FirstNames) -> tuple[str, str, str] | None:
     elif bracket:
         s = f"{bracket[2]} {bracket[1]}"
     dotted = re.fullmatch(r"([a-z])\.([a-z][\w'-]+)", s)
+    return ((dotted[1], dotted[2]) if dotted else None), s.replace(".", ". ").split()
+
+
+def first_name_questions(name: str, longest: int) -> list[str]:
+    """The tokens, and beginnings of a single one, whose reading as first names the reading of a person's name may ask for. No first name, and none that
+    is near one, is longer than ``longest``."""
+    dotted, tokens = _person_tokens(name)
+    if dotted:
+        return []
+    words = [t.strip(".") for t in tokens if not _INITIAL.fullmatch(t)]
+    core = [w for w in words if w and w not in PARTICLES and w not in TITLES]
+    asks = {w for w in words if w}
+    if len(core) == 1:
+        asks |= {core[0][:i] for i in range(4, min(len(core[0]) - 3, longest + 1))}
+    return sorted(w for w in asks if len(w) <= longest)
+
+
+def read_person(name: str, firsts: FirstNames) -> tuple[str, str, str] | None:
+    """(core, first name or initial or '', middle initial) of a person's name."""
+    dotted, tokens = _person_tokens(name)
     if dotted:
-        return dotted[2], dotted[1], ""
-    tokens = [t for t in s.replace(".", ". ").split() if t.rstrip(".") not in TITLES or t.rstrip(".") in firsts.known]
-    initials = [t for t in tokens if re.fullmatch(r"[a-z](?:\.|-[a-z]\.?)?", t) or t in ("a-s.", "m-c.", "j-b.")]
+        return dotted[1], dotted[0], ""
+    tokens = [t for t in tokens if t.rstrip(".") not in TITLES or firsts.known(t.rstrip("."))]
+    initials = [t for t in tokens if _INITIAL.fullmatch(t)]
     words = [t.strip(".") for t in tokens if t not in initials]
     core = [w for w in words if w not in PARTICLES and w]
     first, middle = "", ""
     if len(core) >= 2:
         forward, backward = firsts.formal(core[0]), firsts.formal(core[-1])
-        exact = [f is not None and (c in firsts.known or _FORMAL.get(c) is not None) for f, c in ((forward, core[0]), (backward, core[-1]))]
+        exact = [firsts.known(c) for c in (core[0], core[-1])]
         if forward and (exact[0] or not exact[1]):
             first, core = forward, core[1:]
         elif backward:
@@ -218,7 +228,7 @@ def read_person(name: str, firsts: FirstNames) -> tuple[str, str, str] | None:
     elif len(core) == 1:
         if parts := firsts.split(core[0]):
             first, core = parts[0], [parts[1]]
-        elif core[0] in firsts.known:
+        elif firsts.known(core[0]):
             return None
     if initials:
         letter = initials[0][0]
@@ -286,18 +296,24 @@ def _fullness(first: str) -> int:
     return 0 if not first else 1 if len(first) == 1 else 2
 
 
-def _read(firsts: FirstNames):
+def _ask(longest: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            forms = []
-            for kind, name in zip(b.column("kind").to_pylist(), b.column("name").to_pylist(), strict=True):
-                f = read_person(name, firsts) if kind == "personne" else read_organisation(name)
-                forms.append(f)
-            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array([f and f[i] for f in forms], pa.string()) for i in range(3)]], [*b.schema.names, "core", "q1", "q2"])
+            asks = [first_name_questions(n, longest) if k == "personne" else [] for k, n in zip(b.column("kind").to_pylist(), b.column("name").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(asks, pa.list_(pa.string()))], [*b.schema.names, "asks"])
 
     return run
 
 
+def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        forms = []
+        for kind, name, told in zip(*(b.column(c).to_pylist() for c in ("kind", "name", "told")), strict=True):
+            firsts = FirstNames((x["token"], x["formal"], x["how"]) for x in told or ())
+            forms.append(read_person(name, firsts) if kind == "personne" else read_organisation(name))
+        yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("name"), *[pa.array([f and f[i] for f in forms], pa.string()) for i in range(3)]], ["kind", "name", "core", "q1", "q2"])
+
+
 def _accept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ok = [same_core(x, y) for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True)]
@@ -312,15 +328,71 @@ def typed_names(envelope: DataFrame, kinds: tuple[str, ...] = ("personne", "orga
     return own.unionByName(more).filter("trim(name) <> ''").distinct()
 
 
-def known_first_names(names: DataFrame, *, least: int = 5, most: int = 20_000) -> FirstNames:
-    """First names of the table and the ``most`` that stand most often, at least ``least`` times, before different surnames; that bound is all that is collected."""
-    plain = F.lower(F.trim(F.col("name")))
-    two = names.filter("kind = 'personne'").select(F.regexp_extract(plain, r"^([\p{L}-]{3,}) +([\p{L}-]{4,})$", 1).alias("first"), F.regexp_extract(plain, r"^([\p{L}-]{3,}) +([\p{L}-]{4,})$", 2).alias("last")).filter("first <> ''")
-    rows = two.groupBy("first").agg(F.approx_count_distinct("last").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "first").limit(most).collect()
-    n: dict[str, int] = {}
-    for r in rows:
-        n[fold(r["first"])] = n.get(fold(r["first"]), 0) + r["n"]
-    return FirstNames(n.items())
+def _without_one(token: str) -> list[str]:
+    """A token, and it with each one sign left out: two that are one slip apart share one of these."""
+    return sorted({token, *(token[:i] + token[i + 1 :] for i in range(len(token)))})
+
+
+def _keys(f: Callable[[str], list[str]], column: str) -> Column:
+    """The hashes of the keys of a column's strings. Equal hashes only add pairs to compare."""
+    return F.transform(F.pandas_udf(lambda c: c.map(f), "array<string>")(column), lambda x: F.xxhash64(x))
+
+
+def known_first_names(names: DataFrame, *, least: int = 2, share: float = 2.0) -> DataFrame:
+    """(first, n): the first names of the table, and the tokens that stand before at least ``least`` different surnames and more than ``share`` times as often
+    first as last, whatever the number of names; rare ones one slip from a name twenty times as frequent are misspellings of it."""
+    plain = X.fold(F.lower(F.trim(F.col("name"))))
+    two = r"^([\p{L}-]{3,}) +([\p{L}-]{4,})$"
+    pairs = names.filter("kind = 'personne'").select(F.regexp_extract(plain, two, 1).alias("first"), F.regexp_extract(plain, two, 2).alias("last")).filter("first <> ''").distinct()
+    side = lambda c, f, z: F.struct(F.col(c).alias("first"), F.lit(f).alias("n"), F.lit(z).alias("z"))
+    sides = pairs.select(F.explode(F.array(side("first", 1, 0), side("last", 0, 1))).alias("x")).groupBy("x.first").agg(F.sum("x.n").alias("n"), F.sum("x.z").alias("z"))
+    spark = names.sparkSession
+    table = spark.createDataFrame([(x,) for x in sorted({*NICKNAMES, *_FORMAL})], "first string").withColumn("fixed", F.lit(True))
+    told = written(sides.join(table, "first", "full_outer").select("first", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("fixed", F.lit(False)).alias("fixed"), ((F.col("n") >= least) & (F.col("n") > share * F.col("z"))).alias("often")).filter("fixed or often"), "first-names")
+    keyed = told.select("first", "n", "fixed", F.explode(_keys(_without_one, "first")).alias("key"))
+    slip = F.pandas_udf(lambda a, b: pd.Series([edits(x, y, 1) <= 1 for x, y in zip(a, b, strict=True)], dtype=bool), "boolean")
+    more = keyed.select(F.col("first").alias("other"), F.col("n").alias("more"), "key")
+    wrong = keyed.filter("not fixed").join(more, "key").filter((F.col("more") > 20 * F.col("n")) & (F.col("first") != F.col("other"))).select("first", "other").distinct().filter(slip("first", "other"))
+    return written(told.filter("fixed or length(first) > 2").join(wrong.select("first"), "first", "left_anti").select("first", "n"), "known-first-names")
+
+
+def _nearest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, first, near): the likeness by Jaro-Winkler, where that and the edit distance allow it."""
+    for b in batches:
+        out = []
+        for token, t, k in zip(*(b.column(c).to_pylist() for c in ("token", "t", "first")), strict=True):
+            near = jaro_winkler(t, k)
+            if near >= 0.9 and edits(t, k, 2) <= (1 if len(t) < 6 else 2):
+                out.append((token, k, near))
+        cols = list(zip(*out, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.float64())], ["token", "first", "near"])
+
+
+def first_name_readings(tokens: DataFrame, known: DataFrame) -> DataFrame:
+    """(token, formal, how) of the different ``tokens`` that read as first names: known ones, those written together or with a hyphen, and the nearest
+    one by Jaro-Winkler among those within two slips, which share a spelling with one or two signs left out. All by joins; nothing is collected."""
+    formal = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in sorted(_FORMAL.items()) for x in kv]), F.col("first")), F.col("first"))
+    as_known = tokens.join(known.select(F.col("first").alias("token"), formal.alias("formal")), "token").withColumn("how", F.lit("known"))
+    bare = F.replace(F.col("first"), F.lit("-"), F.lit(""))
+    joined = known.filter("length(first) >= 4").groupBy(bare.alias("bare")).agg(F.min("first").alias("first")).select("bare", formal.alias("formal"))
+    rest = tokens.join(known.select(F.col("first").alias("token")), "token", "left_anti")
+    as_glued = rest.filter("length(token) > 4").withColumn("bare", F.replace("token", F.lit("-"), F.lit(""))).join(joined, "bare").select("token", "formal", F.lit("glued").alias("how"))
+    rest = rest.filter("length(token) >= 4").join(as_glued.select("token"), "token", "left_anti").withColumn("t", F.translate("token", "01358", "oless"))
+    filed = known.filter("length(first) > 3").select("first", F.explode(_keys(without_two, "first")).alias("key"))
+    met = rest.select("token", "t", F.explode(_keys(without_two, "t")).alias("key")).join(filed, "key").select("token", "t", "first").distinct()
+    as_near = met.mapInArrow(_nearest, "token string, first string, near double").groupBy("token").agg(F.max_by("first", F.struct("near", "first")).alias("first")).select("token", formal.alias("formal"), F.lit("near").alias("how"))
+    return as_known.unionByName(as_glued).unionByName(as_near)
+
+
+def read_names(names: DataFrame, known: DataFrame) -> DataFrame:
+    """(slug, kind, name, alias, core, q1, q2): each typed name with its form. Every different name is read once."""
+    longest = (known.agg(F.max(F.length("first"))).first()[0] or 0) + 2
+    asked = written(names.select("kind", "name").distinct().mapInArrow(_ask(longest), "kind string, name string, asks array<string>"), "asked")
+    each = asked.select("kind", "name", F.explode("asks").alias("token"))
+    found = written(first_name_readings(written(each.select("token").distinct(), "tokens"), known), "readings")
+    told = each.join(found, "token").groupBy("kind", "name").agg(F.collect_list(F.struct("token", "formal", "how")).alias("told"))
+    forms = asked.select("kind", "name").join(told, ["kind", "name"], "left").mapInArrow(_read, "kind string, name string, core string, q1 string, q2 string").filter("core is not null")
+    return names.join(forms, ["kind", "name"])
 
 
 def connected_components(edges: DataFrame, *, rounds: int | None = None) -> DataFrame:
@@ -369,16 +441,29 @@ def core_pairs(cores: DataFrame, *, most: int | None = 400) -> DataFrame:
 def _agree_udf():
     @F.pandas_udf("boolean")
     def f(kind, a1, a2, b1, b2):  # noqa: ANN001, ANN202
-        import pandas as pd
-
         return pd.Series([agree(k, (w, x), (y, z)) for k, w, x, y, z in zip(kind, a1, a2, b1, b2, strict=True)])
 
     return f
 
 
-def link_names(names: DataFrame, firsts: FirstNames) -> DataFrame:
-    """(slug, component): the slugs of names typed for the same person or organisation share a component."""
-    read = names.mapInArrow(_read(firsts), "slug string, kind string, name string, alias boolean, core string, q1 string, q2 string").filter("core is not null")
+def agreeing_forms(forms: DataFrame, near: DataFrame) -> DataFrame:
+    """(kind, a, p1, p2, b, q1, q2): pairs of different forms of cores that are near each other (kind, a, b) whose qualifiers agree: full first names
+    with full ones, partial forms with all others. Full first names meet by their spelling with one sign left out, so a surname that many people share
+    costs no pair of them; partial forms, like kinds and lines of work, are few for each core."""
+    left = forms.select("kind", F.col("core").alias("a"), F.col("q1").alias("p1"), F.col("q2").alias("p2")).join(near, ["kind", "a"])
+    right = forms.select("kind", F.col("core").alias("b"), "q1", "q2")
+    person = F.col("kind") == "personne"
+    spell = lambda df, c: df.filter(person & (F.length(c) > 1)).withColumn("key", F.explode(_keys(_without_one, c)))
+    people = spell(left, "p1").join(spell(right, "q1"), ["kind", "b", "key"]).drop("key").distinct()
+    partial = left.filter(person & (F.length("p1") <= 1)).join(right, ["kind", "b"])
+    others = left.filter(~person).join(right.filter(~person), ["kind", "b"])
+    met = people.unionByName(partial).unionByName(others).filter(~((F.col("a") == F.col("b")) & (F.col("p1") == F.col("q1")) & (F.col("p2") == F.col("q2"))))
+    return met.filter((F.col("p1") == "") | (F.col("q1") == "") | (F.left("p1", F.lit(1)) == F.left("q1", F.lit(1)))).filter(_agree_udf()("kind", "p1", "p2", "q1", "q2"))
+
+
+def link_names(names: DataFrame, known: DataFrame) -> DataFrame:
+    """(slug, component): the slugs of names typed for the same person or organisation share a component. ``known``: the first names (first, n)."""
+    read = read_names(names, known)
     # An alias that is no full name says nothing by itself.
     read = read.filter(~F.col("alias") | ((F.length("q1") > 1) & ((F.col("kind") == "personne") | (F.col("q2") != "") | (F.col("q1") != ""))))
     read = written(read, "names")
@@ -391,12 +476,7 @@ def link_names(names: DataFrame, firsts: FirstNames) -> DataFrame:
     pairs = core_pairs(filed(block_keys, "blocks")).unionByName(core_pairs(spelled, most=None)).distinct()
     close = written(pairs.mapInArrow(_accept, "kind string, a string, b string"), "cores")
     near = close.unionByName(close.select("kind", F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(forms.select("kind", F.col("core").alias("a"), F.col("core").alias("b")).distinct())
-    # Fuller forms that agree with a form, over all cores close to its own.
-    left = forms.select("kind", F.col("core").alias("a"), F.col("q1").alias("p1"), F.col("q2").alias("p2"))
-    right = forms.select("kind", F.col("core").alias("b"), "q1", "q2")
-    size = lambda a, b: F.least(F.length(a), F.lit(2)) * 3 + F.least(F.length(b), F.lit(2))
-    met = left.join(near, ["kind", "a"]).join(right, ["kind", "b"]).filter(~((F.col("a") == F.col("b")) & (F.col("p1") == F.col("q1")) & (F.col("p2") == F.col("q2"))))
-    met = met.filter((F.col("p1") == "") | (F.col("q1") == "") | (F.left("p1", F.lit(1)) == F.left("q1", F.lit(1)))).filter(_agree_udf()("kind", "p1", "p2", "q1", "q2"))
+    met = agreeing_forms(forms, near)
     x, y = F.concat_ws("\x1f", "kind", "a", "p1", "p2"), F.concat_ws("\x1f", "kind", "b", "q1", "q2")
     met = written(met.select(x.alias("x"), y.alias("y"), "kind", "a", "b", "p1", "q1", "p2", "q2"), "agreeing")
     full = lambda c: F.length(c) > 1

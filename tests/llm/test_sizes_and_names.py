@@ -153,6 +153,33 @@ def test_one_slip_that_changes_two_sounds_is_found(spark):
     assert all(got[f"{i}-0"] == got[f"{i}-1"] for i in range(3)) and len(set(got.values())) == 3
 
 
+def test_agreeing_forms_are_those_of_all_pairs_though_a_surname_is_hot(spark):
+    rnd = random.Random(11)
+    firsts = ["".join(rnd.choice("abeilmnorst") for _ in range(rnd.randint(4, 9))) for _ in range(40)]
+    firsts += [f[:2] + "x" + f[2:] for f in firsts[:15]] + ["", "a", "b"]
+    forms = sorted({("personne", c, f, m) for c in ("dupont", "dupond", "autre") for f in rnd.sample(firsts, 40) for m in rnd.choice([("",), ("", "k")])} | {("organisation", "dupont", k, w) for k in ("", "g", "groupe") for w in ("", "conseil")})
+    df = spark.createDataFrame(forms, "kind string, core string, q1 string, q2 string")
+    near = spark.createDataFrame([(k, a, b) for k in ("personne", "organisation") for a, b in (("dupont", "dupont"), ("dupond", "dupond"), ("autre", "autre"), ("dupont", "dupond"), ("dupond", "dupont"))], "kind string, a string, b string")
+    got = {(r["kind"], (r["a"], r["p1"], r["p2"]), (r["b"], r["q1"], r["q2"])) for r in N.agreeing_forms(df, near).collect()}
+    close = {("dupont", "dupond"), ("dupond", "dupont")}
+    for kind, a, p1, p2 in forms:
+        for k, b, q1, q2 in forms:
+            if k == kind and (a == b or (a, b) in close) and (a, p1, p2) != (b, q1, q2) and N.agree(kind, (p1, p2), (q1, q2)) and (kind != "personne" or len(p1) <= 1 or len(q1) > 1):
+                assert (kind, (a, p1, p2), (b, q1, q2)) in got
+    assert all(N.agree(k, x[1:], y[1:]) for k, x, y in got)
+
+
+def test_first_names_are_told_by_where_they_stand(spark):
+    rows = [(f"s{i}", "personne", f"Zéphirin Nom{'abcdefgh'[i]}eux", False) for i in range(8)] + [("t", "personne", "Nomaeux Zéphirin", False), ("u", "personne", None, False), ("v", "organisation", "Groupe Zed", False)]
+    df = spark.createDataFrame(rows, "slug string, kind string, name string, alias boolean")
+    known = {r["first"]: r["n"] for r in N.known_first_names(df).collect()}
+    assert known["zephirin"] == 8 and "nomaeux" not in known and "thomas" in known
+    table = spark.createDataFrame(list(known.items()), "first string, n long")
+    asked = spark.createDataFrame([("zephirin",), ("zephirim",), ("tom",), ("annesophie",), ("zz",), ("qqqqqqq",)], "token string")
+    got = {r["token"]: (r["formal"], r["how"]) for r in N.first_name_readings(asked, table).collect()}
+    assert got == {"zephirin": ("zephirin", "known"), "zephirim": ("zephirin", "near"), "tom": ("thomas", "known"), "annesophie": ("anne-sophie", "glued")}
+
+
 def test_components_against_union_find(spark):
     rnd = random.Random(7)
     edges = [(f"n{rnd.randrange(80)}", f"n{rnd.randrange(80)}") for _ in range(55)] + [(f"c{i}", f"c{i + 1}") for i in range(40)]
