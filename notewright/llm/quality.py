@@ -6,7 +6,8 @@ characters stand in lines shaped as sentences, list items, table rows or noise.
 Profiles. Over all documents whose lines are mostly sentences, the counts of common words and of character classes are summed by language: a language's
 prose profile. Function-word and character-class distributions of a document are compared with the profile of its language by Jensen-Shannon divergence
 (in bits, 0 to 1). Text shaped as sentences that is far from prose in its words is noise. What then stands in each shape is the document's structural
-distribution; the kind is the nearest, by the same divergence, of the four structural profiles ``STRUCTURES``.
+distribution. Documents that are mostly of one shape are the examples of a kind, and their mean its structural profile; the kind is the nearest of the four
+profiles by the same divergence.
 
 Defined results: a null text has null figures and no kind; an empty one zeros. Texts under ``LEAST_CHARS`` characters have figures but no kind. Fenced code and
 headings count for no kind, unless there is nothing else. Texts of any length are read whole. Equal rows each have their row; extra columns pass through.
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from ..session import written
 
 KINDS = ("prose", "list", "table", "junk")
-#: Structural profiles: how the characters of a kind spread over sentences, items, cells and noise. Fixed values.
+#: Structural profiles before any document is seen: how the characters of a kind spread over sentences, items, cells and noise. Fixed values.
 STRUCTURES = {"prose": (0.94, 0.03, 0.01, 0.02), "list": (0.03, 0.94, 0.01, 0.02), "table": (0.01, 0.03, 0.94, 0.02), "junk": (0.02, 0.02, 0.02, 0.94)}
 LEAST_CHARS = 40
 #: Character classes: letters (and all beyond ASCII), digits, blanks, line ends, ends of sentences, inner punctuation, other ASCII.
@@ -102,8 +103,8 @@ def _shaped(block: list[str]) -> bool:
     return stops * 6 >= len(block) or n / len(block) > 90
 
 
-def structure(text: str, ink: bytes | None = None) -> tuple[int, int, int, int, int]:
-    """Characters in sentences, items, cells, noise, and lines that say nothing of the kind."""
+def structure(text: str, ink: bytes | None = None) -> tuple[int, int, int, int, int, int]:
+    """Characters in sentences, items, cells, noise, lines that say nothing of the kind, and ragged rows: those that no row beside them has the cells of."""
     sentence = item = cell = noise = neutral = 0
     text = text.replace("\r\n", "\n").replace("\r", "\n")
     if not _odd(text, text.encode("utf-8", "replace").translate(_INK) if ink is None else ink):
@@ -120,14 +121,14 @@ def structure(text: str, ink: bytes | None = None) -> tuple[int, int, int, int,
                 else:
                     item += n
                 block = []
-        return _repeated(seen, sentence, item, 0, 0, 0)
+        return *_repeated(seen, sentence, item, 0, 0, 0), 0
     lines = text.split("\n")
     fenced = False
     seen = Counter()
     block = []
-    rows: list[str] = []
+    rows: list[tuple[int, int]] = []
     cells_seen: Counter[str] = Counter()
-    row_chars = row_lines = 0
+    row_chars = row_lines = ragged = 0
 
     def close() -> None:
         nonlocal sentence, item, noise
@@ -181,7 +182,7 @@ def structure(text: str, ink: bytes | None = None) -> tuple[int, int, int, int,
             row_chars += n
             row_lines += 1
             cells_seen.update(cells)
-            rows.append(s)
+            rows.append((len(cells), n))
         elif ":" in s and _LABEL.match(s) and not _TERMINAL.search(s) and n < 120:
             if block and len(block[-1]) > 45 and not _TERMINAL.search(block[-1]):
                 block.append(s)
@@ -197,8 +198,9 @@ def structure(text: str, ink: bytes | None = None) -> tuple[int, int, int, int,
         if row_lines <= 3 and total >= 8 and kinds <= 0.6 * total or row_lines <= 1 and total >= 8 and not any(any(c.isdigit() for c in x) for x in cells_seen):
             noise += row_chars
         else:
-            cell += row_chars
-    return _repeated(seen, sentence, item, cell, noise, neutral)
+            ragged = sum(n for i, (k, n) in enumerate(rows) if all(k != x for x, _ in rows[max(0, i - 1) : i] + rows[i + 1 : i + 2]))
+            cell += row_chars - ragged
+    return *_repeated(seen, sentence, item, cell, noise, neutral), ragged
 
 
 def _repeated(seen: Counter[str], sentence: int, item: int, cell: int, noise: int, neutral: int) -> tuple[int, int, int, int, int]:
@@ -229,7 +231,7 @@ class Vocabulary:
         return np.array([self.number[w] for w in hit], np.int32), np.array([c[w] for w in hit], np.int32)
 
 
-_NUMBERS = ("chars", "words", "letters", "symbols", "lines", "stopped", "distinct", "mixed", "common", *(f"class_{c}" for c in CLASSES), *(f"in_{x}" for x in ("sentences", "items", "cells", "noise", "neither")))
+_NUMBERS = ("chars", "words", "letters", "symbols", "lines", "stopped", "distinct", "mixed", "common", *(f"class_{c}" for c in CLASSES), *(f"in_{x}" for x in ("sentences", "items", "cells", "noise", "neither", "ragged")))
 _COUNTS = [*[T.StructField(n, T.LongType()) for n in _NUMBERS], T.StructField("lang", T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("ns", T.ArrayType(T.IntegerType()))]
 
 
@@ -289,7 +291,7 @@ class Prose:
 
 def prose_profiles(counts: DataFrame, vocabulary: Vocabulary, *, sentences: float = 0.8, least_words: int = 30) -> Prose:
     """Profiles summed over all documents whose lines are mostly sentences; what is collected is bounded by languages x common words."""
-    like = counts.filter(f"words >= {least_words} and lang is not null and in_sentences >= {sentences} * (in_sentences + in_items + in_cells + in_noise) and common >= 0.25 * words and mixed < 0.05 * words")
+    like = counts.filter(f"words >= {least_words} and lang is not null and in_sentences >= {sentences} * (in_sentences + in_items + in_cells + in_noise + in_ragged) and common >= 0.25 * words and mixed < 0.05 * words")
     n, at = len(vocabulary.words), {x: i for i, x in enumerate(vocabulary.languages)}
     words, others, classes = np.zeros((len(at), n)), np.zeros(len(at)), np.zeros((len(at), len(CLASSES)))
     pairs = like.select("lang", F.explode(F.arrays_zip("ids", "ns")).alias("p")).groupBy("lang", "p.ids").agg(F.sum("p.ns").alias("n")).toPandas()
@@ -326,12 +328,15 @@ def word_divergence(doc: np.ndarray, ids: np.ndarray, ns: np.ndarray, words: np.
 
 
 #: Text shaped as sentences is noise when the divergence of its words from prose is above FAR_WORDS + SMALL / words, or the share of common words is below
-#: FEW_COMMON, or the divergence of its character classes above FAR_CLASSES, or the share of words mixed of letters and signs above FAR_MIXED.
-FAR_WORDS, SMALL, FEW_COMMON, FAR_CLASSES, FAR_MIXED = 0.21, 4.0, 0.16, 0.16, 0.12
+#: FEW_COMMON, or the divergence of its character classes above FAR_CLASSES, or the share of words mixed of letters and signs above FAR_MIXED. Items are noise
+#: when so mixed, or when their words are far, hardly common and, for more than half of them, repeated; ragged rows when so mixed.
+FAR_WORDS, SMALL, FEW_COMMON, FAR_CLASSES, FAR_MIXED, REPEATED = 0.21, 4.0, 0.16, 0.16, 0.12, 0.5
+#: Share of a shape from which a document is an example of its kind.
+EXAMPLE = 0.8
 
 
-def judge(numbers: dict[str, np.ndarray], lang: list[str | None], ids: pa.ListArray, ns: pa.ListArray, prose: Prose) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(divergence of words, of character classes, number of the kind or -1) of each document."""
+def shapes(numbers: dict[str, np.ndarray], lang: list[str | None], ids: pa.ListArray, ns: pa.ListArray, prose: Prose) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(divergence of words, of character classes, structural distribution) of each document; what is unlike prose in words or signs has become noise."""
     at = {x: i for i, x in enumerate(prose.languages)}
     code = np.array([at.get(x, -1) for x in lang], np.int64)
     known = (code >= 0) & (prose.words.sum(axis=1)[np.maximum(code, 0)] > 0) & (numbers["words"] > 0)
@@ -346,24 +351,59 @@ def judge(numbers: dict[str, np.ndarray], lang: list[str | None], ids: pa.ListAr
     shape = np.stack([numbers[f"in_{x}"] for x in ("sentences", "items", "cells", "noise")], 1).astype(float)
     words = np.maximum(numbers["words"], 1)
     garbled = numbers["mixed"] / words > FAR_MIXED
-    unlike = (far_words > FAR_WORDS + SMALL / words) | (numbers["common"] / words < FEW_COMMON) | garbled | (far_classes > FAR_CLASSES)
-    for column, moved in ((0, unlike), (1, garbled)):
+    few = numbers["common"] / words < FEW_COMMON
+    unlike = (far_words > FAR_WORDS + SMALL / words) | few | garbled | (far_classes > FAR_CLASSES)
+    filler = (far_words > FAR_WORDS) & few & (numbers["distinct"] / words < REPEATED)
+    for column, moved in ((0, unlike), (1, garbled | filler)):
         shape[:, 3] += np.where(moved, shape[:, column], 0)
         shape[:, column] = np.where(moved, 0, shape[:, column])
+    shape[:, 2] += np.where(garbled, 0, numbers["in_ragged"])
+    shape[:, 3] += np.where(garbled, numbers["in_ragged"], 0)
     empty = shape.sum(axis=1) == 0
     shape[empty, 0] = 1
-    far = divergence((shape / shape.sum(axis=1)[:, None])[:, None, :], np.array([STRUCTURES[k] for k in KINDS])[None])
-    return far_words, far_classes, np.where(numbers["chars"] >= LEAST_CHARS, far.argmin(axis=1), -1)
+    return far_words, far_classes, shape / shape.sum(axis=1)[:, None]
 
 
-def _kinds(prose: Prose):
+def judge(numbers: dict[str, np.ndarray], shape: np.ndarray, structures: np.ndarray) -> np.ndarray:
+    """The number of the nearest structural profile by divergence, -1 for texts too short."""
+    return np.where(numbers["chars"] >= LEAST_CHARS, divergence(shape[:, None, :], structures[None]).argmin(axis=1), -1)
+
+
+def _batch(b: pa.RecordBatch, prose: Prose) -> tuple[dict[str, pa.Array], dict[str, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    col = dict(zip(b.schema.names, b.columns, strict=True))
+    numbers = {n: col[n].fill_null(0).to_numpy(zero_copy_only=False) for n in _NUMBERS}
+    return col, numbers, shapes(numbers, col["lang"].to_pylist(), col["ids"], col["ns"], prose)
+
+
+def _examples(prose: Prose):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            _, numbers, (_, _, shape) = _batch(b, prose)
+            sure = (shape.max(axis=1) >= EXAMPLE) & (numbers["chars"] >= LEAST_CHARS)
+            kind = shape.argmax(axis=1)
+            sums = np.stack([shape[sure & (kind == k)].sum(axis=0) for k in range(len(KINDS))])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(KINDS)), pa.int64()), *[pa.array(sums[:, i]) for i in range(len(KINDS))]], ["kind", *KINDS])
+
+    return run
+
+
+def structural_profiles(counts: DataFrame, prose: Prose) -> np.ndarray:
+    """The mean distribution of sentences, items, cells and noise over all documents that are examples of a kind, beside ``STRUCTURES``, which count as one
+    more example each and keep all shares above zero. A row a kind is collected."""
+    out = np.array([STRUCTURES[k] for k in KINDS])
+    sums = counts.mapInArrow(_examples(prose), "kind bigint, " + ", ".join(f"{k} double" for k in KINDS)).groupBy("kind").agg(*[F.sum(k).alias(k) for k in KINDS]).collect()
+    for r in sums:
+        out[r["kind"]] += [r[k] for k in KINDS]
+    return out / out.sum(axis=1)[:, None]
+
+
+def _kinds(prose: Prose, structures: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*KINDS, None], object)
         for b in batches:
-            col = dict(zip(b.schema.names, b.columns, strict=True))
+            col, numbers, (far_words, far_classes, shape) = _batch(b, prose)
             null = col["chars"].is_null().to_numpy(zero_copy_only=False)
-            numbers = {n: col[n].fill_null(0).to_numpy(zero_copy_only=False) for n in _NUMBERS}
-            far_words, far_classes, kind = judge(numbers, col["lang"].to_pylist(), col["ids"], col["ns"], prose)
+            kind = judge(numbers, shape, structures)
             figures = [pa.array(np.round(x, 6), pa.float64(), mask=null) for x in (far_words, far_classes)]
             keep = [n for n in b.schema.names if n not in ("ids", "ns")]
             yield pa.RecordBatch.from_arrays([*[col[n] for n in keep], *figures, pa.array(np.where(null, None, names[kind]), pa.string())], [*keep, "far_words", "far_classes", "kind"])
@@ -377,8 +417,9 @@ def text_quality(df: DataFrame, text: Column, common_words: DataFrame, keep: lis
     counts = written(text_counts(df, text, vocabulary, keep), "text-counts")
     kept = [f for f in counts.schema.fields if f.name not in ("ids", "ns")]
     schema = T.StructType([*kept, T.StructField("far_words", T.DoubleType()), T.StructField("far_classes", T.DoubleType()), T.StructField("kind", T.StringType())])
-    judged = counts.mapInArrow(_kinds(prose_profiles(counts, vocabulary)), schema)
+    prose = prose_profiles(counts, vocabulary)
+    judged = counts.mapInArrow(_kinds(prose, structural_profiles(counts, prose)), schema)
     share = lambda a, n: F.round(F.col(a) / F.greatest(F.col(n), F.lit(1)), 6)
     figures = ["words", share("letters", "words").alias("mean_word_length"), share("symbols", "chars").alias("symbol_ratio"), "lines", share("stopped", "lines").alias("lines_stopped"), share("common", "words").alias("common_share"), share("distinct", "words").alias("distinct_share"), share("mixed", "words").alias("mixed_share"), F.col("lang").alias("prose_lang")]
-    shapes = [f"in_{x}" for x in ("sentences", "items", "cells", "noise", "neither")]
+    shapes = [f"in_{x}" for x in ("sentences", "items", "cells", "noise", "neither", "ragged")]
     return judged.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], *figures, *shapes, "far_words", "far_classes", "kind")

@@ -207,6 +207,25 @@ def test_kinds(spark):
     assert null["words"] is None and null["far_words"] is None
 
 
+def test_filler_and_garbled_rows_are_junk_and_names_a_list(spark):
+    rnd = random.Random(12)
+    garbled = "".join(c if c == " " or rnd.random() < 0.6 else rnd.choice("|;~^$*!:0123") for c in FR * 8)
+    texts = ["\n".join(f"{rnd.choice('abc')}{i} qsdf jklm azer wxcv" for i in range(12)), garbled, "\n".join(f"- {rnd.choice('ABC')}ob{i}ert Garou{i}dubrous" for i in range(9)), "nom;valeur;date\n" + "\n".join(f"a{i};b;{i}" for i in range(12))]
+    base = read_table(spark, SF, "documents").select(F.lit(None).cast("int").alias("i"), "text")
+    got = Q.text_quality(base.unionByName(spark.createDataFrame(list(enumerate(texts)), "i int, text string")), F.col("text"), read_table(spark, SF, "common_word"), ["i"]).filter("i is not null").collect()
+    assert {r["i"]: r["kind"] for r in got}[0] == "junk" and {r["i"]: r["kind"] for r in got}[1] == "junk" and {r["i"]: r["kind"] for r in got}[3] == "table"
+    ragged = Q.structure("a;b;c;d\ne;f;g\nh;i;j")
+    assert (ragged[2], ragged[5]) == (10, 7)
+
+
+def test_structural_profiles_come_from_the_documents(spark):
+    words = read_table(spark, SF, "common_word")
+    vocabulary = Q.Vocabulary((r.lang, r.word) for r in words.collect())
+    counts = Q.text_counts(spark.createDataFrame([(FR * 9 + "\n\n- un mot\n- deux mots",)] * 30, "text string"), F.col("text"), vocabulary, [])
+    got = Q.structural_profiles(counts, Q.prose_profiles(counts, vocabulary))
+    assert got[0][0] < 0.99 and got[0][1] > 0.015 and got.sum(axis=1) == pytest.approx([1] * 4) and got[2] == pytest.approx(Q.STRUCTURES["table"])
+
+
 def test_figures_and_edge_cases(spark):
     df = spark.createDataFrame([(1, "Le chat dort.\nFin"), (1, "Le chat dort.\nFin"), (2, ""), (3, "x" * 200_000)], "kind int, text string")
     got = Q.text_quality(df, F.col("text"), read_table(spark, SF, "common_word"), ["kind"])
