@@ -8,7 +8,8 @@ A parent is alive at ``t`` when ``created <= t`` and (``deleted`` is null or ``t
 
 Skew. A range holds about ``events_per_range`` events, as ranges are cut in hash space. A key with more events than that gets ranges of its own, cut by
 time at its quantiles; each carries the sums of the earlier ones. A range that many references hit is copied to as many tasks as
-``refs_per_task`` asks for, and its references are spread over the copies. Nothing is broadcast or collected; tasks stream their references.
+``refs_per_task`` asks for, and its references are spread over the copies. The number of tasks follows from all references, so a task stays within
+``refs_per_task`` or little more at any size. Nothing is broadcast or collected; tasks stream their references.
 
 Defined results. Null parent keys and null or empty lifetimes are no parents. A null reference key is reported as ``missing``; a null time as ``no_time``.
 Repeated parents count as one live parent or more, which is the same. Empty tables give no parents or no rows. Extra columns of the references pass
@@ -161,9 +162,12 @@ def probe_references(
     if hot is not None:
         slot = F.when(F.col("t").isNull(), F.lit(0).cast("long")).otherwise(_slot("t", "cuts"))
         r = r.join(hot, "key", "left").withColumn("g1", F.when(F.col("cuts").isNotNull(), F.col("h")).otherwise(F.col("g1"))).withColumn("g2", F.when(F.col("cuts").isNotNull(), slot).otherwise(F.col("g2"))).drop("cuts")
-    counts = r.groupBy("g1", "g2").agg(F.ceil(F.count("*") / refs_per_task).cast("long").alias("copies")).filter("copies > 1")
-    if counts.limit(1).count():
-        counts = written(counts, "hot-ranges")
+    counts = written(r.groupBy("g1", "g2").agg(F.count("*").alias("n")), "ranges")
+    size = counts.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    # Several ranges meet in a task by chance; tasks are planned for a quarter of what one may hold.
+    tasks = max(1, math.ceil(4 * (size["n"] or 0) / refs_per_task))
+    if (size["most"] or 0) > refs_per_task:
+        counts = counts.select("g1", "g2", F.ceil(F.col("n") / refs_per_task).cast("long").alias("copies")).filter("copies > 1")
         r = r.join(counts, ["g1", "g2"], "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("row"), F.col("copies")), F.lit(0).cast("long"))).drop("copies")
         arrays = arrays.join(counts, ["g1", "g2"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("copies"), F.lit(1)) - 1))).drop("copies")
     else:
@@ -172,7 +176,7 @@ def probe_references(
     order = ["g1", "g2", "salt", "kind", "h", "key", "t", "row", "arr"]
     r = r.withColumn("kind", F.lit(1)).withColumn("arr", null(_EVENT)).select(*order)
     arrays = arrays.select("g1", "g2", "salt", F.lit(0).alias("kind"), null("long").alias("h"), null("string").alias("key"), null("long").alias("t"), null(r.schema["row"].dataType).alias("row"), F.col("arr").cast(_EVENT).alias("arr"))
-    routed = arrays.unionByName(r).repartition("g1", "g2", "salt").sortWithinPartitions("g1", "g2", "salt", "kind")
+    routed = arrays.unionByName(r).repartition(tasks, "g1", "g2", "salt").sortWithinPartitions("g1", "g2", "salt", "kind")
     schema = T.StructType([T.StructField("row", r.schema["row"].dataType), T.StructField("reason", T.StringType())])
     found = routed.mapInArrow(lambda batches: _probe(batches, keep_ok), schema)
     return found.select(*[F.col(f"row.`{c}`").alias(c) for c in refs.columns], F.col("reason").alias(reason))
