@@ -1,7 +1,7 @@
 """The quality rules over pages, links, index and ledger. Each takes DataFrames and gives findings (severity, rule, location, observed); a set of findings is a bag.
 
-Pages: sub, name, stem, text, fm, body, prose, err, and ``dir_ord`` made here; ``err`` marks unreadable front matter. Per-page rules are projections of one scan; link rules
-are semi and anti joins by key. Links are taken from the prose, per occurrence. Extra columns are ignored.
+Pages: sub, name, stem, text, fm, body, prose, err, and ``dir_ord`` made here; ``err`` marks unreadable front matter. Rules that look at one page alone are one projection
+(``page_findings``); link rules are semi and anti joins by key. Links are taken from the prose, per occurrence. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def _ok(pages: DataFrame) -> DataFrame:
 
 def _first_of_stem(pages: DataFrame) -> DataFrame:
     """(stem, sub, name, fm, any_stub, n): the first page of each stem, by folder and name."""
-    place = F.struct(F.array_position(F.array(*map(F.lit, FOLDERS)), F.col("sub")).alias("o"), F.col("name").alias("n"))
+    place = page_order()
     return pages.groupBy("stem").agg(F.min_by(F.struct("sub", "name", "fm"), place).alias("p"), F.max(F.coalesce(_stub(), F.lit(False))).alias("any_stub"), F.count("*").alias("n")).select("stem", "p.*", "any_stub", "n")
 
 
@@ -75,73 +75,103 @@ def page_links(pages: DataFrame) -> DataFrame:
     return pages.filter("body is not null").select("sub", "name", F.explode(X.wikilinks(F.coalesce("prose", "body"))).alias("target"))
 
 
-def r1(pages: DataFrame, index: DataFrame) -> DataFrame:
-    """Index entries without a page."""
-    return _find(index.join(pages.select(F.col("stem").alias("target")).distinct(), "target", "left_anti"), "CRITIQUE", "R1", F.col("target"), F.concat(F.lit("index.md (## "), "section", F.lit(")")))
-
-
-def r2(pages: DataFrame, index: DataFrame) -> DataFrame:
-    """Pages that the index lacks, but for those marked as stubs in any way."""
-    left = _first_of_stem(pages).join(index.select(F.col("target").alias("stem")).distinct(), "stem", "left_anti")
-    return _find(left.filter(F.coalesce(_fm("stub"), F.lit("")) == ""), "MAJEUR", "R2", F.col("stem"))
+def page_order() -> Column:
+    """The place of a page: by folder, then by name."""
+    return F.struct(F.array_position(F.array(*map(F.lit, FOLDERS)), F.col("sub")).alias("o"), F.col("name").alias("n"))
 
 
-def r3(pages: DataFrame) -> DataFrame:
-    """Links to pages that are not there."""
-    return _find(page_links(pages).join(pages.select(F.col("stem").alias("target")).distinct(), "target", "left_anti"), "MAJEUR", "R3", F.col("target"))
+def _floor() -> Column:
+    out = F.lit(200)
+    for s, n in LEAST_BODY.items():
+        out = F.when(F.col("sub") == s, n).otherwise(out)
+    return F.when(F.left("body", F.lit(300)).rlike(r"(?m)page fusionn|^Voir \[\[.{1,80}\]\]"), 0).otherwise(out)
 
 
-def r4(pages: DataFrame) -> DataFrame:
-    """Links to stems of several folders."""
-    many = pages.groupBy(F.col("stem").alias("target")).agg(F.count("*").alias("n")).filter("n > 1").select("target")
-    return _find(page_links(pages).join(many, "target"), "MINEUR", "R4", F.col("target"))
+def _item(severity: str | Column, observed: Column, location: Column | None = None) -> Column:
+    s = F.lit(severity) if isinstance(severity, str) else severity
+    return F.struct(s.alias("severity"), observed.cast("string").alias("observed"), (_at() if location is None else location).alias("location"))
 
 
-def r5(pages: DataFrame) -> DataFrame:
-    """Pages without a link."""
-    return _find(pages.filter("body is not null").filter(F.size(X.wikilinks(F.coalesce("prose", "body"))) == 0), "MINEUR", "R5", F.lit("0"))
+def _if(cond: Column, *item: object) -> Column:
+    return F.array_compact(F.array(F.when(cond, _item(*item))))
 
 
-def r6(pages: DataFrame) -> DataFrame:
-    """Pages that no page links to, but for stubs."""
-    cited = page_links(pages).select(F.col("target").alias("stem")).distinct()
-    return _find(_first_of_stem(pages).filter("not any_stub").join(cited, "stem", "left_anti"), "INFO", "R6", F.col("stem"))
+def _injections() -> Column:
+    """The first match of each sign of injection in ``scan``, with its line in the file."""
+    head = F.left("text", F.length("text") - F.length("body"))
+    offset = F.length(head) - F.length(F.replace(head, F.lit("\n"), F.lit("")))
+    hit = lambda r: F.struct(F.regexp_instr("scan", F.lit(f"(?i){r}")).alias("at"), F.left(F.regexp_extract("scan", f"(?i)({r})", 1), F.lit(60)).alias("what"))
+    found = F.filter(F.array(*map(hit, INJECTIONS)), lambda h: h["at"] > 0)
+    return F.transform(found, lambda h: _item("CRITIQUE", h["what"], F.concat_ws(":", _at(), (X.line_of(F.col("scan"), h["at"]) + offset).cast("string"))))
 
 
-def r7(pages: DataFrame) -> DataFrame:
-    """File names that are not in kebab case."""
-    n = F.col("name")
-    return _find(pages.filter(~n.rlike(r"^[a-z0-9][a-z0-9._-]*\.md$")), "INFO", "R7", F.when(n.rlike(r"^-[a-z0-9._-]*\.md$"), F.lit("dash")).otherwise(F.lit("other")))
+def _page_rules(today: Column) -> dict[str, Column]:
+    """Of each rule that looks at one page alone, the array of what it finds there: severity, observed, location."""
+    ok = F.col("err").isNull() & F.col("fm").isNotNull()
+    n, name = F.length(X.strip(F.col("body"))), F.col("name")
+    lacks = lambda k: F.coalesce(_fm(k), F.lit("")) == ""
+    required = [F.when(ok & F.col("sub").isin([s for s, ks in REQUIRED.items() if k in ks]) & lacks(k), _item("MAJEUR", F.lit(k))) for k in ("title", "type", "tags", "last_updated")]
+    fits = reduce(lambda a, b: a | b, [(F.col("sub") == s) & _fm("type").isin(*t) for s, t in TYPES.items()])
+    dates = [F.when(ok & D.date_problem(_fm(k), today).isNotNull(), _item("MAJEUR", F.concat_ws(":", F.lit(k), D.date_problem(_fm(k), today)))) for k in DATE_KEYS]
+    none = F.array().cast("array<struct<severity:string,observed:string,location:string>>")
+    return {
+        "R5": _if(F.col("body").isNotNull() & (F.size(X.wikilinks(F.coalesce("prose", "body"))) == 0), "MINEUR", F.lit("0")),
+        "R7": _if(~name.rlike(r"^[a-z0-9][a-z0-9._-]*\.md$"), "INFO", F.when(name.rlike(r"^-[a-z0-9._-]*\.md$"), F.lit("dash")).otherwise(F.lit("other"))),
+        "R8": _if(F.col("err").isNotNull() | F.col("text").isNull(), "CRITIQUE", F.coalesce("err", F.lit("unreadable"))),
+        "R9": F.array_compact(F.array(*required, F.when(ok & (F.col("sub") != "sources") & lacks("title"), _item("INFO", F.lit("title"))))),
+        "R10": F.when(ok, F.transform(F.array_intersect(F.map_keys("fm"), F.array(*map(F.lit, FRENCH_KEYS))), lambda k: _item("MINEUR", k))).otherwise(none),
+        "R11": _if(ok & ~lacks("type") & ~fits, "MAJEUR", _fm("type")),
+        "R12": F.array_compact(F.array(*dates)),
+        "R14": _if(ok & ~_stub() & (_floor() > 0) & ((n < _floor()) | ~F.col("body").rlike("(?m)^#")), "MAJEUR", F.when(n < _floor(), n.cast("string")).otherwise(F.lit("no heading"))),
+        "R17": _if(ok & ~_stub() & (n >= F.greatest(_floor(), F.lit(200))) & ~X.looks_french(F.col("body")), "MINEUR", n),
+        "R21": F.when(ok, _injections()).otherwise(none),
+        "R24": _if(ok & _stub(), "INFO", F.lit("stub")),
+    }
+
+
+#: The rules that look at one page alone: no links (R5), file names that are not in kebab case (R7), unreadable pages and front matter (R8), required keys and
+#: titles that are missing (R9), front matter keys in French (R10), types that do not fit the folder (R11), dates in another format, impossible or yet to come
+#: (R12), bodies too short or without a heading, but for redirections and stubs (R14), bodies that do not look French (R17), signs of injection in the prose,
+#: but for lines with the title (R21), stubs that wait for content (R24).
+PAGE_RULES = ("R5", "R7", "R8", "R9", "R10", "R11", "R12", "R14", "R17", "R21", "R24")
+
+
+def page_findings(pages: DataFrame, rules: tuple[str, ...] = PAGE_RULES, today: Column | None = None) -> DataFrame:
+    """The findings of rules that look at one page alone, in one scan of the pages."""
+    told = _page_rules(F.current_date() if today is None else today)
+    if "R21" in rules:
+        pages = pages.withColumn("scan", X.blank_lines_with(F.coalesce("prose", "body"), X.strip(F.coalesce(_fm("title"), F.lit("")))))
+    named = lambda r: F.transform(told[r], lambda x: F.struct(x.severity.alias("severity"), F.lit(r).alias("rule"), x.location.alias("location"), x.observed.alias("observed")))
+    each = F.flatten(F.array(*map(named, rules)))
+    return pages.select(F.explode(each).alias("x")).select("x.*")
 
 
-def r8(pages: DataFrame) -> DataFrame:
-    """Unreadable pages and front matter."""
-    return _find(pages.filter("err is not null or text is null"), "CRITIQUE", "R8", F.coalesce("err", F.lit("unreadable")))
+def r1(pages: DataFrame, index: DataFrame) -> DataFrame:
+    """Index entries without a page."""
+    return _find(index.join(pages.select(F.col("stem").alias("target")).distinct(), "target", "left_anti"), "CRITIQUE", "R1", F.col("target"), F.concat(F.lit("index.md (## "), "section", F.lit(")")))
 
 
-def r9(pages: DataFrame) -> DataFrame:
-    """Required keys that are missing or empty, and titles that other pages should have."""
-    p = _ok(pages)
-    lacks = lambda k: F.coalesce(_fm(k), F.lit("")) == ""
-    keys = F.array_compact(F.array(*[F.when(F.col("sub").isin([s for s, ks in REQUIRED.items() if k in ks]) & lacks(k), F.struct(F.lit("MAJEUR").alias("s"), F.lit(k).alias("k"))) for k in ("title", "type", "tags", "last_updated")], F.when((F.col("sub") != "sources") & lacks("title"), F.struct(F.lit("INFO").alias("s"), F.lit("title").alias("k")))))
-    return _find(p.select("sub", "name", F.explode(keys).alias("e")), F.col("e.s"), "R9", F.col("e.k"))
+def r2(pages: DataFrame, index: DataFrame) -> DataFrame:
+    """Pages that the index lacks, but for those marked as stubs in any way."""
+    left = _first_of_stem(pages).join(index.select(F.col("target").alias("stem")).distinct(), "stem", "left_anti")
+    return _find(left.filter(F.coalesce(_fm("stub"), F.lit("")) == ""), "MAJEUR", "R2", F.col("stem"))
 
 
-def r10(pages: DataFrame) -> DataFrame:
-    """Front matter keys in French."""
-    return _find(_ok(pages).select("sub", "name", F.explode(F.array_intersect(F.map_keys("fm"), F.array(*map(F.lit, FRENCH_KEYS)))).alias("k")), "MINEUR", "R10", F.col("k"))
+def r3(pages: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """Links to pages that are not there. ``links``: those of ``page_links``, where they are at hand."""
+    return _find((links or page_links(pages)).join(pages.select(F.col("stem").alias("target")).distinct(), "target", "left_anti"), "MAJEUR", "R3", F.col("target"))
 
 
-def r11(pages: DataFrame) -> DataFrame:
-    """Types that do not fit the folder."""
-    fits = reduce(lambda a, b: a | b, [(F.col("sub") == s) & _fm("type").isin(*t) for s, t in TYPES.items()])
-    return _find(_ok(pages).filter((F.coalesce(_fm("type"), F.lit("")) != "") & ~fits), "MAJEUR", "R11", _fm("type"))
+def r4(pages: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """Links to stems of several folders."""
+    many = pages.groupBy(F.col("stem").alias("target")).agg(F.count("*").alias("n")).filter("n > 1").select("target")
+    return _find((links or page_links(pages)).join(many, "target"), "MINEUR", "R4", F.col("target"))
 
 
-def r12(pages: DataFrame, today: Column) -> DataFrame:
-    """Dates in another format, impossible, or yet to come."""
-    e = _ok(pages).select("sub", "name", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), D.date_problem(_fm(k), today).alias("p")) for k in DATE_KEYS])).alias("e"))
-    return _find(e.filter("e.p is not null"), "MAJEUR", "R12", F.concat_ws(":", "e.k", "e.p"))
+def r6(pages: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """Pages that no page links to, but for stubs."""
+    cited = (links or page_links(pages)).select(F.col("target").alias("stem")).distinct()
+    return _find(_first_of_stem(pages).filter("not any_stub").join(cited, "stem", "left_anti"), "INFO", "R6", F.col("stem"))
 
 
 def r13(pages: DataFrame, state: DataFrame) -> DataFrame:
@@ -151,19 +181,6 @@ def r13(pages: DataFrame, state: DataFrame) -> DataFrame:
     return _find(p.join(state.select(base(F.col("path")).alias("b")).distinct(), "b", "left_anti"), "MINEUR", "R13", F.col("origin"))
 
 
-def _floor() -> Column:
-    out = F.lit(200)
-    for s, n in LEAST_BODY.items():
-        out = F.when(F.col("sub") == s, n).otherwise(out)
-    return F.when(F.left("body", F.lit(300)).rlike(r"(?m)page fusionn|^Voir \[\[.{1,80}\]\]"), 0).otherwise(out)
-
-
-def r14(pages: DataFrame) -> DataFrame:
-    """Bodies that are too short or without a heading; redirections and stubs may be."""
-    n = F.length(X.strip(F.col("body")))
-    return _find(_ok(pages).filter(~_stub() & (_floor() > 0) & ((n < _floor()) | ~F.col("body").rlike("(?m)^#"))), "MAJEUR", "R14", F.when(n < _floor(), n.cast("string")).otherwise(F.lit("no heading")))
-
-
 def r15(pages: DataFrame, near: DataFrame, classes: DataFrame) -> DataFrame:
     """Each pair of pages with equal or nearly equal bodies, once. ``near`` (a, b, ratio) has the pairs of representatives, ``classes`` (key, class) the pages of each;
     keys are sub/name. The place is the page of the lower step of 500 characters, then the first by folder and name."""
@@ -185,12 +202,6 @@ def r16(pages: DataFrame, index: DataFrame) -> DataFrame:
     return _find(j.filter("n_pages <> n_index"), "INFO", "R16", F.concat_ws("/", F.col("n_pages").cast("string"), F.col("n_index").cast("string")), F.concat(F.lit("index.md (## "), "sub", F.lit(")")))
 
 
-def r17(pages: DataFrame) -> DataFrame:
-    """Bodies that do not look French."""
-    n = F.length(X.strip(F.col("body")))
-    return _find(_ok(pages).filter(~_stub() & (n >= F.greatest(_floor(), F.lit(200))) & ~X.looks_french(F.col("body"))), "MINEUR", "R17", n)
-
-
 def r18(pages: DataFrame, produced: DataFrame, *, least_share: float = 0.2) -> DataFrame:
     """Pages that no ledger line produced; silent while the ledger covers too little."""
     enough = produced.agg(F.count("*").alias("made")).crossJoin(pages.agg(F.count("*").alias("there"))).filter((F.col("made") > 0) & (F.col("made") >= least_share * F.greatest(F.col("there"), F.lit(1))))  # one row each
@@ -210,16 +221,6 @@ def r20(milestones: DataFrame, now: Column, *, seconds: int = 900) -> DataFrame:
     return _find(g.filter(F.col("v").isNull() | (now - F.col("v") > seconds)), "CRITIQUE", "R20", F.coalesce(F.floor((now - F.col("v")) / 60).cast("string"), F.lit("missing")), F.lit("heartbeat"))
 
 
-def r21(pages: DataFrame) -> DataFrame:
-    """The first match of each sign of injection in the prose, with its line in the file; lines with the title do not count."""
-    p = _ok(pages).select("sub", "name", "text", "body", X.blank_lines_with(F.coalesce("prose", "body"), X.strip(F.coalesce(_fm("title"), F.lit("")))).alias("scan"))
-    head = F.left("text", F.length("text") - F.length("body"))
-    offset = F.length(head) - F.length(F.replace(head, F.lit("\n"), F.lit("")))
-    hit = lambda r: F.struct(F.regexp_instr("scan", F.lit(f"(?i){r}")).alias("at"), F.left(F.regexp_extract("scan", f"(?i)({r})", 1), F.lit(60)).alias("what"))
-    e = p.withColumn("offset", offset).withColumn("h", F.explode(F.filter(F.array(*map(hit, INJECTIONS)), lambda h: h["at"] > 0)))
-    return _find(e, "CRITIQUE", "R21", F.col("h.what"), F.concat_ws(":", _at(), (X.line_of(F.col("scan"), F.col("h.at")) + F.col("offset")).cast("string")))
-
-
 def r22(pages: DataFrame, *, least: int = 3) -> DataFrame:
     """Terms in bold on several pages that have no page."""
     terms = pages.filter("body is not null").select("sub", "name", F.explode(F.array_distinct(F.regexp_extract_all(F.coalesce("prose", "body"), F.lit(r"\*\*([A-Z](?U:[\w .+-]){3,40})\*\*"), F.lit(1)))).alias("t"))
@@ -229,10 +230,10 @@ def r22(pages: DataFrame, *, least: int = 3) -> DataFrame:
     return _find(left, "MINEUR", "R22", F.concat_ws(":", "term", F.col("n").cast("string")), F.lit("wiki/"))
 
 
-def r23(pages: DataFrame, *, least: int = 4) -> DataFrame:
+def r23(pages: DataFrame, links: DataFrame | None = None, *, least: int = 4) -> DataFrame:
     """Of the pages that link to one page, the first two do not mention each other. Only the two smallest are kept by target, so a hot target costs no more."""
     key = F.struct("sub", "name")
-    edges = page_links(pages).join(pages.select(F.col("stem").alias("target")).distinct(), "target", "left_semi").distinct()
+    edges = (links or page_links(pages)).join(pages.select(F.col("stem").alias("target")).distinct(), "target", "left_semi").distinct()
     low = edges.groupBy("target").agg(F.min(key).alias("a"), F.count("*").alias("n")).filter(F.col("n") >= least)
     second = edges.join(low.select("target", "a"), "target").filter(F.struct("sub", "name") > F.col("a")).groupBy("target").agg(F.min(key).alias("b"))
     body = pages.select(key.alias("k"), "stem", "body")
@@ -241,11 +242,6 @@ def r23(pages: DataFrame, *, least: int = 4) -> DataFrame:
     return _find(apart, "INFO", "R23", F.concat_ws("|", "target", "b.sub", "b.name"), _at("a."))
 
 
-def r24(pages: DataFrame) -> DataFrame:
-    """Stubs that wait for content."""
-    return _find(_ok(pages).filter(_stub()), "INFO", "R24", F.lit("stub"))
-
-
 def all_findings(parts: list[DataFrame]) -> DataFrame:
     """The bag of the findings of all rules."""
     return reduce(DataFrame.unionByName, parts)

@@ -111,7 +111,7 @@ def first_lines(spark: SparkSession, d: str) -> DataFrame:
 
 @REGISTRY.add("lint_r15_near_duplicates")
 def near(spark: SparkSession, d: str) -> DataFrame:
-    return S.near_duplicates(_pages(spark, d).withColumn("rel", F.concat_ws("/", "sub", "name")), "rel", "body")
+    return S.near_duplicates(_pages(spark, d).withColumn("rel", F.concat_ws("/", "sub", "name")), "rel", "body", L.page_order())
 
 
 @REGISTRY.add("lint_r15_text_classes", _P + "SELECT rel AS key, min(rel) OVER (PARTITION BY body) AS class FROM (SELECT sub || '/' || name AS rel, body FROM p WHERE length(body) >= 200)")
