@@ -18,11 +18,11 @@ def boundary(text: str, lo: int, hi: int) -> int:
     """The best place to cut in the upper half of [lo, hi): the last heading, else after the last empty line, line end, blank, else hi."""
     if hi >= len(text):
         return len(text)
-    mid = lo + (hi - lo) // 2
+    mid = lo + max(1, (hi - lo) // 2)
     window = text[mid:hi]
     heads = [m.start() for m in _HEAD.finditer(window)]
     if heads:
-        return mid + heads[-1] or hi
+        return mid + heads[-1]
     for sign in ("\n\n", "\n", " "):
         if (k := window.rfind(sign)) >= 0:
             return mid + k + len(sign)
@@ -36,15 +36,16 @@ def spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
     if len(text) <= size:
         return [(0, len(text))] if text else []
     out, start = [], 0
-    while start < len(text):
-        end = max(boundary(text, start, start + size), start + 1)
+    while True:
+        end = boundary(text, start, start + size)
+        if end <= start:
+            end = start + size
         out.append((start, end))
         if end >= len(text):
-            break
-        back = end - overlap
-        nxt = boundary(text, max(start, back - overlap), back) if overlap else end
-        start = nxt if start < nxt <= end else end
-    return out
+            return out
+        # The next span starts at the best place of this one up to the overlap.
+        back = boundary(text, start, max(start + 1, end - overlap))
+        start = back if back > start else end
 
 
 def document_spans(df: DataFrame, key: str, text: str, size: Column, overlap: Column) -> DataFrame:

@@ -107,7 +107,7 @@ def validate(envelope: DataFrame) -> DataFrame:
             told(F.col("extraction.confidence").isNull(), "confidence"),
         )
     )
-    return e.select("sha256", "chunk_idx", errors.alias("errors"), warnings.alias("warnings"), "title", "slug", F.slice("tags", 1, MOST_TAGS).alias("tags"), "sections", F.col("good").alias("entities"), F.col("kept_relations").alias("relations"), F.when(day.rlike(DATE), day).alias("doc_date"), N.clamp_share(F.col("extraction.confidence"), 0.0).alias("confidence"))
+    return e.select("sha256", "chunk_idx", errors.alias("errors"), warnings.alias("warnings"), "title", "slug", F.slice("tags", 1, MOST_TAGS).alias("tags"), bare_tokens(F.col("sections"), slugs).alias("sections"), F.col("good").alias("entities"), F.col("kept_relations").alias("relations"), F.when(day.rlike(DATE), day).alias("doc_date"), N.clamp_share(F.col("extraction.confidence"), 0.0).alias("confidence"))
 
 
 def bare_tokens(sections: Column, slugs: Column) -> Column:

@@ -76,11 +76,12 @@ def cascade(spec: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(F.split(spec, ","), lambda m: F.trim(m)), lambda m: (m != "") & ~F.endswith(m, F.lit("-latest"))))
 
 
-def model_days(calls: DataFrame, model: str, epoch: Column, status: Column, long_delay: Column) -> DataFrame:
-    """(model, day, ok, strikes, exhausted_until): calls of a model by quota day; three refusals, or one with a long delay, close it until the next midnight of the quota zone."""
+def model_days(calls: DataFrame, model: str, epoch: Column, status: Column, long_delay: Column, reset_s: Column | None = None) -> DataFrame:
+    """(model, day, ok, strikes, exhausted_until): calls of a model by quota day; three refusals, or one with a long delay, close it for as long as the last refusal
+    says (``reset_s``), until the next midnight of the quota zone at the latest."""
     day = D.quota_day(epoch)
-    g = calls.groupBy(F.col(model).alias("model"), day.alias("day")).agg(F.count_if(status == "ok").alias("ok"), F.count_if(status == "quota").alias("strikes"), F.max(F.when(status == "quota", epoch)).alias("last"), F.coalesce(F.bool_or((status == "quota") & long_delay), F.lit(False)).alias("long"))
-    return g.select("model", "day", "ok", "strikes", F.when(F.col("long") | (F.col("strikes") >= STRIKES), D.next_quota_midnight(F.col("last"))).alias("exhausted_until"))
+    g = calls.groupBy(F.col(model).alias("model"), day.alias("day")).agg(F.count_if(status == "ok").alias("ok"), F.count_if(status == "quota").alias("strikes"), F.max(F.when(status == "quota", epoch)).alias("last"), F.max_by(F.lit(None).cast("double") if reset_s is None else reset_s, F.when(status == "quota", epoch)).alias("reset"), F.coalesce(F.bool_or((status == "quota") & long_delay), F.lit(False)).alias("long"))
+    return g.select("model", "day", "ok", "strikes", F.when(F.col("long") | (F.col("strikes") >= STRIKES), F.least(D.next_quota_midnight(F.col("last")), F.when(F.col("reset").isNotNull(), F.floor(F.col("last") + F.greatest(F.col("reset"), F.lit(0.0))).cast("long")))).alias("exhausted_until"))
 
 
 def pick_model(states: DataFrame, now: Column) -> DataFrame:

@@ -23,7 +23,7 @@ def salience_rank(salience: Column) -> Column:
 
 def chunks(envelope: DataFrame) -> DataFrame:
     """One row a chunk: sha, idx, total and the parts; deliveries of the same chunk count once."""
-    c = envelope.select(F.col("source.sha256").alias("sha"), F.col("source.chunk.idx").alias("idx"), F.col("source.chunk.total").alias("total"), "note", "entities", "relations", F.col("extraction.usage").alias("usage"), F.col("source.path").alias("path"), F.col("extraction.extracted_at").alias("extracted_at"))
+    c = envelope.select(F.col("source.sha256").alias("sha"), F.col("source.chunk.idx").alias("idx"), F.col("source.chunk.total").alias("total"), "note", "entities", "relations", "issues", F.col("extraction.usage").alias("usage"), F.col("source.path").alias("path"), F.col("extraction.extracted_at").alias("extracted_at"))
     return c.dropDuplicates(["sha", "idx"])
 
 
@@ -88,9 +88,30 @@ def merged_relations(c: DataFrame) -> DataFrame:
 
 
 def merged_warnings(c: DataFrame) -> DataFrame:
-    """(sha, kind, about, text): warnings whose text was not there before."""
+    """(sha, at, kind, about, text): warnings whose text was not there before, with their place."""
     w = c.select("sha", "idx", F.posexplode("note.warnings").alias("pos", "w")).withColumn("key", X.paragraph_key(F.coalesce("w.text", F.lit(""))))
-    return w.groupBy("sha", "key").agg(F.min_by("w", F.struct("idx", "pos")).alias("w")).select("sha", "w.*")
+    return w.groupBy("sha", "key").agg(F.min(F.struct("idx", "pos")).alias("at"), F.min_by("w", F.struct("idx", "pos")).alias("w")).select("sha", "at", "w.*")
+
+
+def merged_issues(c: DataFrame) -> DataFrame:
+    """(sha, at, code, detail): issues, each once, at their first place."""
+    i = c.select("sha", "idx", F.posexplode("issues").alias("pos", "i"))
+    return i.groupBy("sha", "i").agg(F.min(F.struct("idx", "pos")).alias("at")).select("sha", "at", "i.*")
+
+
+def assemble(c: DataFrame) -> DataFrame:
+    """One row a complete document: sha, path, chunk (0, n), chunks_reassembled, title, slug, doc_date and summary, tags, sections, warnings, entities, relations,
+    issues, usage. Parts are merged apart, each grouped by document, and joined by it, so no row holds more than one document's."""
+    whole = complete_chunks(c)
+    first = lambda f: F.min_by(F.col(f), "idx").alias(f.split(".")[-1])
+    head = whole.groupBy("sha").agg(F.count("*").cast("int").alias("n"), first("path"), first("note.title"), first("note.slug"), F.min_by("note.doc_date", F.when(F.coalesce("note.doc_date", F.lit("")) != "", F.col("idx"))).alias("doc_date"))
+    listed = lambda df, by, name: df.groupBy("sha").agg(F.array_sort(F.collect_list(F.struct(*by, *[x for x in df.columns if x not in ("sha", *by)]))).alias(name))
+    usage = usage_totals(whole).groupBy("sha").agg(F.map_from_entries(F.collect_list(F.struct("field", "n"))).alias("usage"))
+    parts = [summaries(whole), listed(top_tags(whole), ["place"], "tags"), listed(merged_sections(whole), ["place"], "sections"), listed(merged_warnings(whole), ["at"], "warnings"), listed(merged_entities(whole), ["slug"], "entities"), listed(merged_relations(whole), ["from_slug", "rel_type", "to_slug"], "relations"), listed(merged_issues(whole), ["at"], "issues"), usage]
+    out = head
+    for p in parts:
+        out = out.join(p, "sha", "left")
+    return out.withColumn("chunk", F.struct(F.lit(0).alias("idx"), F.col("n").alias("total"))).withColumnRenamed("n", "chunks_reassembled")
 
 
 def usage_totals(c: DataFrame) -> DataFrame:

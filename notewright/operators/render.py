@@ -43,13 +43,38 @@ def entity_block(entities: DataFrame) -> DataFrame:
     return entities.select("slug", F.concat(F.lit(BEGIN + "\n"), body, F.lit("\n" + END)).alias("block"))
 
 
-def source_page(title: Column, tags: Column, day: Column, summary: Column, sections: Column, warnings: Column, path: Column) -> Column:
-    """The text of the page of a source document."""
-    head = F.concat(F.lit("---\ntitle: "), X.yaml_quote(title), F.lit("\ntype: source\ntags: "), X.yaml_list(tags), F.lit("\nlast_updated: "), day, F.lit("\n---\n\n# "), title)
-    told = F.array_join(F.transform(F.coalesce(warnings, F.array().cast("array<struct<kind:string,about:string,text:string>>")), lambda w: F.concat(F.lit("> [!warning] "), F.replace(F.coalesce(w.text, F.lit("")), F.lit("\n"), F.lit("\n> ")))), "\n\n")
-    body = F.array_join(F.transform(sections, lambda s: F.concat(F.lit("## "), s.heading, F.lit("\n\n"), s.markdown)), "\n\n")
-    blank = lambda x: F.nullif(F.coalesce(x, F.lit("")), F.lit(""))
-    return F.concat_ws("\n\n", head, F.when(blank(summary).isNotNull(), F.concat(F.lit("## Résumé\n\n"), summary)), blank(body), blank(told), F.concat(F.lit("Source : "), X.source_rel(path)))
+def source_page(title: Column, tags: Column, day: Column, summary: Column, sections: Column, warnings: Column, entities: Column, sha: Column, path: Column, names: Column, promoted: Column) -> Column:
+    """The text of the page of a source document: front matter, title, summary (unless a section is one), sections, warnings as callouts, the pages of its
+    entities, and its source. Entity tokens are resolved by ``names`` (map of slug to name) and ``promoted`` (slugs that have a page)."""
+    none = F.array().cast("array<string>")
+    resolved = lambda x: X.resolve_tokens(X.strip(F.coalesce(x, F.lit(""))), names, promoted)
+    rel = X.source_rel(path)
+    kept = F.when(F.size(F.coalesce(tags, none)) > 0, tags).otherwise(F.array(F.lit("imported")))
+    head = F.concat(F.lit('---\ntitle: "'), F.replace(title, F.lit('"'), F.lit("'")), F.lit('"\ntype: source\ntags: '), X.yaml_list(kept), F.lit("\nsource_count: 1\nlast_updated: "), day, F.lit("\nlinks: "), X.yaml_list(F.array(rel)), F.lit("\n---\n\n# "), title)
+    part = lambda heading, text: F.concat(F.lit("## "), heading, F.lit("\n\n"), text)
+    told = F.coalesce(F.exists(sections, lambda s: X.canon(F.coalesce(s.heading, F.lit(""))).isin("resume", "summary")), F.lit(False))
+    lines = F.concat(
+        F.when(told, none).otherwise(F.array(part(F.lit("Resume"), resolved(summary)))),
+        F.transform(F.coalesce(sections, F.array().cast("array<struct<heading:string,markdown:string>>")), lambda s: part(F.coalesce(s.heading, F.lit("")), resolved(s.markdown))),
+        F.transform(F.coalesce(warnings, none), lambda w: F.concat(F.lit("> [!warning] "), F.replace(resolved(w), F.lit("\n"), F.lit("\n> ")))),
+        F.when(F.size(F.coalesce(entities, none)) > 0, F.array(part(F.lit("Entites & Concepts Mentionnes"), F.array_join(F.transform(entities, lambda e: F.concat(F.lit("- [["), e, F.lit("]]"))), "\n")))).otherwise(none),
+        F.array(part(F.lit("Sources"), F.concat(F.lit("- `"), rel, F.lit("` (sha "), F.left(sha, F.lit(8)), F.lit(")")))),
+    )
+    return F.concat(head, F.lit("\n\n"), F.array_join(lines, "\n\n"), F.lit("\n"))
+
+
+def told_entities(c: DataFrame, registry: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(sha, names, promoted, entities): of each document, the names of the entities that its texts and lists name, the slugs among them that have a page, and the
+    names, sorted, of its own entities that have one. Names are joined by slug; a document's map holds its own only. ``registry``: slug, name."""
+    texts = F.concat(F.array("note.summary"), F.coalesce("note.sections.markdown", F.array().cast("array<string>")), F.coalesce("note.warnings.text", F.array().cast("array<string>")))
+    tokens = c.select("sha", F.explode(texts).alias("t")).filter(F.contains("t", F.lit("{{E:"))).select("sha", F.explode(F.regexp_extract_all("t", F.lit(X.TOKEN), F.lit(1))).alias("k")).select("sha", X.canon(F.col("k")).alias("slug"), F.lit(False).alias("own"))
+    own = c.select("sha", F.explode("entities.slug").alias("slug"), F.lit(True).alias("own")).filter("coalesce(slug, '') <> ''")
+    each = tokens.unionByName(own).groupBy("sha", "slug").agg(F.max("own").alias("own"))
+    known = registry.select("slug", "name").join(chosen.filter("promoted").select("slug", F.lit(True).alias("up")), "slug", "left")
+    j = each.join(known, "slug").filter("name is not null")
+    up = F.coalesce("up", F.lit(False))
+    g = j.groupBy("sha").agg(F.map_from_entries(F.collect_list(F.struct("slug", "name"))).alias("names"), F.collect_list(F.when(up, F.col("slug"))).alias("promoted"), F.array_sort(F.collect_set(F.when(up & F.col("own"), F.col("name")))).alias("entities"))
+    return g
 
 
 def journal_entry(sha: Column, day: Column, title: Column, promoted: Column, held: Column) -> Column:
@@ -74,19 +99,93 @@ def overlay(staged: DataFrame, real: DataFrame) -> DataFrame:
     return staged.select("rel", "content").unionByName(real.select("rel", "content").join(staged.select("rel").distinct(), "rel", "left_anti"))
 
 
+#: Keys that the front matter of a staged page must have, and the type that fits its folder. Fixed values.
+STAGE_KEYS = {"sources": ("title", "type", "tags", "last_updated"), "entities": ("tags",), "concepts": ("tags",)}
+STAGE_TYPE = {"sources": "source", "entities": "entity", "concepts": "concept"}
+
+
 def stage_problems(pages: DataFrame) -> DataFrame:
-    """(sub, name, problems): what keeps a staged page from being promoted."""
-    body = X.strip(F.coalesce("body", F.lit("")))
+    """(sub, name, problems): what keeps a staged page from being promoted: its folder, its file name, no front matter; then keys it lacks, a type that does not
+    fit, a body under 200 bytes (without the line ends at its end), no heading."""
+    text = F.coalesce("text", F.lit(""))
+    block = F.regexp_extract(text, r"(?s)\A---\n(.*?)(?:(?<=\n)---[ \t]*(?:\n|\z)|\z)", 1)
+    body = F.regexp_replace(F.regexp_extract(text, r"(?s)\A---\n.*?(?<=\n)---[ \t]*\n(.*)\z", 1), r"\n+\z", "")
+    kind = F.regexp_extract(block, r'(?m)^type:\s*"?([A-Za-z_]+)"?', 1)
+    fits = F.coalesce(*[F.when(F.col("sub") == s, (kind == t) | ((kind == "") & F.lit(s != "sources"))) for s, t in STAGE_TYPE.items()])
     tell = lambda c, n: F.when(c, F.lit(n))
-    p = F.array_compact(F.array(tell(~F.col("sub").isin("sources", "entities", "concepts"), "folder"), tell(F.col("name").rlike(r'[/\\:*?"<>|]') | ~F.endswith("name", F.lit(".md")), "name"), tell(~F.startswith(F.coalesce("text", F.lit("")), F.lit("---")), "front matter"), tell(F.octet_length(body) < 200, "short"), tell(~body.rlike("(?m)^#"), "heading")))
-    return pages.select("sub", "name", F.array_join(p, ",").alias("problems"))
+    first = F.when(~F.col("sub").isin(*STAGE_KEYS), F.lit("folder")).when(F.col("name").rlike(r'[/:*?"<>|]') | (F.col("name") == ".md"), F.lit("name")).when(~F.startswith(text, F.lit("---\n")), F.lit("front matter"))
+    keys = [tell(F.col("sub").isin([s for s, ks in STAGE_KEYS.items() if k in ks]) & ~block.rlike(f"(?m)^{k}:"), f"key {k}") for k in STAGE_KEYS["sources"]]
+    short = F.octet_length(body) < 200
+    rest = F.array_compact(F.array(*keys, tell(~fits, "type"), tell(short, "short"), tell(~short & ~body.rlike("(?m)^#"), "heading")))
+    return pages.select("sub", "name", F.coalesce(first, F.array_join(rest, ",")).alias("problems"))
+
+
+def stage_passes(problems: DataFrame) -> DataFrame:
+    """One row: may the whole stage be promoted, and how many of its pages are produced: those without a problem, or with problems of keys, type or heading only."""
+    produced = ~F.col("problems").rlike("folder|^name$|front matter|short")
+    return problems.agg(F.coalesce(F.bool_and(F.col("problems") == ""), F.lit(True)).alias("passes"), F.count_if(produced).alias("produced"), F.count("*").alias("pages"))
+
+
+def thick_enough(pages: DataFrame, chosen: DataFrame, *, least: int = 200) -> tuple[DataFrame, DataFrame]:
+    """Rendered entity pages (slug, body, is_new) of at least so many bytes, and the promotions (slug, promoted, …) less those of new pages that are too thin."""
+    thin = F.octet_length(F.coalesce("body", F.lit(""))) < least
+    lost = pages.filter(thin & F.col("is_new")).select("slug").distinct()
+    return pages.filter(~thin), chosen.join(lost.withColumn("_thin", F.lit(True)), "slug", "left").withColumn("promoted", F.col("promoted") & F.col("_thin").isNull()).drop("_thin")
+
+
+def own_pages(produced: DataFrame) -> DataFrame:
+    """(sha, produced): of each document the pages it produced (sha, rel), sorted, each once, never the curated index."""
+    return produced.filter(~F.col("rel").rlike(r"(?:^|/)index\.md$")).groupBy("sha").agg(F.array_sort(F.collect_set("rel")).alias("produced"))
+
+
+def merged_ledger_rows(documents: DataFrame, produced: DataFrame) -> DataFrame:
+    """The ledger's rows after a merge: documents (sha256, path, size, mtime, attempts, model) with what they produced, to be appended once their pages are promoted."""
+    pages = own_pages(produced).withColumnRenamed("sha", "sha256")
+    none = F.array().cast("array<string>")
+    return documents.join(pages, "sha256", "left").select(*documents.columns, F.lit("merged").alias("status"), F.lit(None).cast("string").alias("reason"), F.coalesce("produced", none).alias("produced"))
+
+
+def journal_counts(mentions: DataFrame, chosen: DataFrame, before: DataFrame) -> DataFrame:
+    """(doc, promoted, held): of each document, how many of its different entities (doc, slug) got a page in this run, and how many have none. ``before``: slugs that
+    had a page already."""
+    up = chosen.filter("promoted").select("slug", F.lit(True).alias("up")).join(before.select("slug", F.lit(True).alias("old")).distinct(), "slug", "left")
+    j = mentions.select("doc", "slug").distinct().join(up, "slug", "left")
+    return j.groupBy("doc").agg(F.count_if(F.col("up") & F.col("old").isNull()).alias("promoted"), F.count_if(F.col("up").isNull()).alias("held"))
+
+
+def run_summary(results: DataFrame) -> DataFrame:
+    """(model, ok, calls): of the results of a run (model, status, calls) by model; the row without a model is the whole run."""
+    return results.rollup("model").agg(F.count_if(F.col("status") == "ok").alias("ok"), F.sum("calls").alias("calls"), F.grouping("model").alias("_all")).filter("_all = 1 or model is not null").drop("_all")
+
+
+def fingerprint(lines: DataFrame) -> DataFrame:
+    """One row: a digest of the strings ``line`` that no order changes and no number of rows makes large: the sums of four parts of their SHA-256 digests, and
+    their number, digested again."""
+    h = F.sha2("line", 256)
+    part = lambda i: F.sum(F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)"))
+    return lines.agg(*[part(i).alias(f"p{i}") for i in range(4)], F.count("*").alias("n")).select(F.sha2(F.concat_ws(" ", *[F.coalesce(F.col(f"p{i}").cast("string"), F.lit("0")) for i in range(4)], F.col("n").cast("string")), 256).alias("fingerprint"))
+
+
+def page_lines(pages: DataFrame) -> DataFrame:
+    """What a fingerprint of pages covers: folder, name, and a digest of the text."""
+    return pages.select(F.concat_ws(" ", "sub", "name", F.sha2(F.coalesce("text", F.lit("")), 256)).alias("line"))
+
+
+def file_lines(files: DataFrame) -> DataFrame:
+    """What a fingerprint of files (path, length, modificationTime) covers, as a listing tells it, without reading them."""
+    return files.select(F.concat_ws(" ", "path", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string")).alias("line"))
+
+
+def diverged(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One critical finding where the fingerprints (one row each) before and after an audit differ; an audit changes nothing."""
+    both = before.select(F.col("fingerprint").alias("a"), F.lit(1).alias("_j")).join(after.select(F.col("fingerprint").alias("b"), F.lit(1).alias("_j")), "_j").filter("a <> b")
+    return both.select(F.lit("CRITIQUE").alias("severity"), F.lit("audit").alias("rule"), F.lit("wiki/").alias("location"), F.concat_ws(" ", F.left("a", F.lit(12)), F.left("b", F.lit(12))).alias("observed"))
 
 
-def fingerprint(pages: DataFrame, groups: int = 256) -> DataFrame:
-    """One row: a digest of all pages that no order changes. Pages are digested in groups of hash space, then the groups, so no task holds them all."""
-    line = F.concat_ws(" ", "sub", "name", F.sha2(F.coalesce("text", F.lit("")), 256))
-    g = pages.select(line.alias("l")).withColumn("g", F.conv(F.left(F.md5("l"), F.lit(2)), 16, 10).cast("int") % groups).groupBy("g").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("l")), "\n"), 256).alias("h"))
-    return g.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "h"))), lambda x: x.h), "\n"), 256).alias("fingerprint"))
+def json_report(findings: DataFrame, pages: DataFrame, at: str, path: str) -> None:
+    """Writes the report as JSON: a folder ``findings`` of one object a line, in as many parts as there are tasks, and ``summary`` with its time and the number of pages."""
+    findings.write.mode("overwrite").json(f"{path}/findings")
+    pages.agg(F.lit(at).alias("generated_at"), F.count("*").alias("pages")).write.mode("overwrite").json(f"{path}/summary")
 
 
 def report_section(findings: DataFrame) -> DataFrame:

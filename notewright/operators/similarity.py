@@ -123,11 +123,11 @@ def candidate_pairs(sketched: DataFrame, *, hot: int = HOT) -> DataFrame:
 
 
 def near_duplicates(pages: DataFrame, key: str, body: str, order: Column | None = None) -> DataFrame:
-    """(a, b, ratio): pairs of representatives, the smallest page of each text, with different texts that match above the limit. The ratio depends on the order of
-    the two texts: a is the page of the lower step of length, then the first by ``order`` (without one, by key)."""
+    """(a, b, ratio): pairs of representatives, the smallest key of each text, with different texts that match above the limit. The ratio depends on the order of
+    the two texts: a is the text of the lower step of length, then that of the first page by ``order`` (without one, by key)."""
     p = pages.filter((F.length(body) >= LEAST) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(body).alias("body"), F.struct(F.floor(F.length(body) / STEP), *([order] if order is not None else []), F.col(key)).alias("ord"))
     # By the digest of the whole body: longer texts may begin alike and differ after that, and are a pair.
-    one = p.groupBy(F.sha2("body", 256).alias("h")).agg(F.min_by(F.struct("k", "ord", F.left("body", F.lit(PREFIX)).alias("t"), F.length("body").alias("n")), "ord").alias("r")).select("r.*")
+    one = p.groupBy(F.sha2("body", 256).alias("h")).agg(F.min("ord").alias("ord"), F.min_by(F.struct("k", F.left("body", F.lit(PREFIX)).alias("t"), F.length("body").alias("n")), "k").alias("r")).select("ord", "r.*")
     one = written(one.mapInArrow(_sketches, T.StructType([*one.schema.fields, T.StructField("sketch", T.ArrayType(T.IntegerType()))])), "bodies")
     pairs = written(candidate_pairs(one.select("k", "n", "ord", "sketch")), "candidates")
     full = pairs.join(one.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a").join(one.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")

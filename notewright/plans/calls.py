@@ -40,22 +40,27 @@ def latency(spark: SparkSession, d: str) -> DataFrame:
     return P.smoothed_latency(_calls(spark, d), "path", ["ord"], (F.col("duration_s") * 1000).cast("long"))
 
 
-@REGISTRY.add(
-    "model_days",
-    """WITH c AS (SELECT model, status, CAST(epoch(CAST(ingested_at AS TIMESTAMPTZ)) AS BIGINT) AS t, reason FROM ledger WHERE model IS NOT NULL AND ingested_at IS NOT NULL AND path IS NOT NULL),
+_DAYS = """WITH c AS (SELECT model, status, CAST(epoch(CAST(ingested_at AS TIMESTAMPTZ)) AS BIGINT) AS t, reason FROM ledger WHERE model IS NOT NULL AND ingested_at IS NOT NULL AND path IS NOT NULL),
  g AS (SELECT model, strftime(to_timestamp(t) AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d') AS day, count(*) FILTER (WHERE status IN ('ok','extracted','merged')) AS ok, count(*) FILTER (WHERE status = 'quota') AS strikes, max(t) FILTER (WHERE status = 'quota') AS last, coalesce(bool_or(status = 'quota' AND coalesce(reason = 'quota_daily', false)), false) AS long FROM c GROUP BY 1, 2)
-SELECT model, day, ok, strikes, CASE WHEN long OR strikes >= 3 THEN CAST(epoch((date_trunc('day', to_timestamp(last) AT TIME ZONE 'America/Los_Angeles') + INTERVAL 1 DAY) AT TIME ZONE 'America/Los_Angeles') AS BIGINT) END AS exhausted_until FROM g""",
-)
+SELECT model, day, ok, strikes, CASE WHEN long OR strikes >= 3 THEN CAST(epoch((date_trunc('day', to_timestamp(last) AT TIME ZONE 'America/Los_Angeles') + INTERVAL 1 DAY) AT TIME ZONE 'America/Los_Angeles') AS BIGINT) END AS exhausted_until FROM g"""
+
+
+@REGISTRY.add("model_days", _DAYS)
 def model_days(spark: SparkSession, d: str) -> DataFrame:
     c = _calls(spark, d).withColumn("status", F.when(F.col("status").isin("ok", "extracted", "merged"), "ok").otherwise(F.col("status")))
     return P.model_days(c, "model", F.col("epoch"), F.col("status"), F.coalesce(F.col("reason") == "quota_daily", F.lit(False)))
 
 
-@REGISTRY.add("model_pick")
+_NOW = 1_750_000_000
+
+
+@REGISTRY.add("model_pick", f"""WITH d AS ({_DAYS}), s AS (SELECT model, greatest(0, coalesce(max(exhausted_until), {_NOW}) - {_NOW}) AS w, min(day) AS since FROM d GROUP BY model)
+SELECT arg_min(model, (since, model)) FILTER (WHERE w <= 0) AS model, min(w) AS wait_s FROM s""")
 def pick(spark: SparkSession, d: str) -> DataFrame:
+    """The model to call, the one longest in use first."""
     days = model_days(spark, d)
-    states = days.groupBy("model").agg(F.max("exhausted_until").alias("exhausted_until")).withColumn("prio", F.col("model"))
-    return P.pick_model(states, F.lit(1_750_000_000))
+    states = days.groupBy("model").agg(F.max("exhausted_until").alias("exhausted_until"), F.struct(F.min("day"), F.col("model")).alias("prio"))
+    return P.pick_model(states, F.lit(_NOW))
 
 
 @REGISTRY.add("interpret_responses", """SELECT status, scope, count(*) AS n FROM (SELECT CASE WHEN status = 'quota' THEN 'quota' WHEN reason IN ('http_error', 'timeout') THEN 'http_error' WHEN reason IN ('output_truncated') THEN 'truncated' WHEN reason = 'blocked' THEN 'blocked' WHEN status = 'failed' THEN 'invalid' ELSE 'ok' END AS status,
@@ -76,7 +81,9 @@ def quota_days(spark: SparkSession, d: str) -> DataFrame:
     return _calls(spark, d).select("ingested_at", D.quota_day(F.col("epoch")).alias("day")).distinct()
 
 
-@REGISTRY.add("resume_schedule")
+@REGISTRY.add("resume_schedule", f"""WITH r AS (SELECT model, coalesce(bool_or(status = 'quota'), false) AS quota, count(*) FILTER (WHERE status = 'quota') AS resume_count, 120 AS reset_s FROM ledger WHERE model IS NOT NULL AND ingested_at IS NOT NULL AND path IS NOT NULL GROUP BY model),
+ c AS (SELECT *, CASE WHEN quota THEN resume_count + 1 ELSE 0 END AS chain, {_NOW} + greatest(18180, reset_s + 300) AS due FROM r)
+SELECT model, quota, resume_count, reset_s, CASE WHEN quota AND chain >= 8 THEN 0 ELSE chain END AS next_count, CASE WHEN quota AND chain < 8 THEN due END AS ingest_due_at, CASE WHEN quota AND chain < 8 THEN due + 21600 WHEN NOT quota THEN {_NOW} + 21600 END AS lint_due_at FROM c""")
 def resume(spark: SparkSession, d: str) -> DataFrame:
     runs = _calls(spark, d).groupBy("model").agg(F.bool_or(F.col("status") == "quota").alias("quota"), F.count_if(F.col("status") == "quota").alias("resume_count"), F.lit(120).alias("reset_s"))
-    return P.next_milestones(runs, F.lit(1_750_000_000))
+    return P.next_milestones(runs, F.lit(_NOW))

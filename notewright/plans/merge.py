@@ -26,6 +26,11 @@ def _env(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "envelope")
 
 
+def _once(spark: SparkSession, d: str) -> DataFrame:
+    """The extractions, rows delivered twice once, before anything is made of them."""
+    return _env(spark, d).withColumn("_idx", F.col("source.chunk.idx")).withColumn("_sha", F.col("source.sha256")).dropDuplicates(["_sha", "_idx"]).drop("_sha", "_idx")
+
+
 def _chunks(spark: SparkSession, d: str) -> DataFrame:
     return A.chunks(_env(spark, d))
 
@@ -33,14 +38,14 @@ def _chunks(spark: SparkSession, d: str) -> DataFrame:
 @REGISTRY.add("extraction_validate")
 def validate(spark: SparkSession, d: str) -> DataFrame:
     """Each extraction with its errors and warnings and what is left of it."""
-    v = V.validate(_env(spark, d)).dropDuplicates(["sha256", "chunk_idx"])
+    v = V.validate(_once(spark, d))
     return v.select("sha256", "chunk_idx", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"), F.size("sections").alias("sections"), F.size("entities").alias("entities"), F.size("relations").alias("relations"), "confidence")
 
 
 @REGISTRY.add("extraction_errors", _C + r"""SELECT sha AS sha256, idx AS chunk_idx, len(list_filter(note.sections, lambda s: trim(coalesce(s.markdown, '')) <> '')) AS sections,
  coalesce(list_sum(list_transform(list_filter(note.sections, lambda s: trim(coalesce(s.markdown, '')) <> ''), lambda s: length(regexp_replace(s.markdown, '^\s+|\s+$', '', 'g')))), 0) < 200 AS too_short FROM c""")
 def errors(spark: SparkSession, d: str) -> DataFrame:
-    v = V.validate(_env(spark, d)).dropDuplicates(["sha256", "chunk_idx"])
+    v = V.validate(_once(spark, d))
     return v.select("sha256", "chunk_idx", F.size("sections").cast("long").alias("sections"), F.array_contains("errors", "body").alias("too_short"))
 
 
@@ -67,7 +72,12 @@ def top_tags(spark: SparkSession, d: str) -> DataFrame:
     return A.top_tags(_chunks(spark, d))
 
 
-@REGISTRY.add("reassemble_summaries")
+_WHOLE = ", w AS (SELECT sha FROM c GROUP BY sha HAVING count(*) = arg_min(total, CAST(idx AS VARCHAR)))"
+
+
+@REGISTRY.add("reassemble_summaries", _C + _WHOLE + r""", s AS (SELECT sha, count(*) AS n, list_filter(list(regexp_replace(coalesce(note.summary, ''), '^\s+|\s+$', '', 'g') ORDER BY idx), lambda x: x <> '') AS t FROM c WHERE sha IN (SELECT sha FROM w) GROUP BY sha),
+ k AS (SELECT *, list_transform(t, lambda x: lower(trim(regexp_replace(x, '\s+', ' ', 'g')))) AS keys FROM s)
+SELECT sha, CASE WHEN n <= 3 THEN array_to_string(list_filter(t, lambda x, i: list_position(keys, keys[i]) = i), ' ') ELSE coalesce(t[1], '') || ' (document en ' || n || ' parties)' END AS summary FROM k""")
 def summaries(spark: SparkSession, d: str) -> DataFrame:
     return A.summaries(A.complete_chunks(_chunks(spark, d)))
 
@@ -84,7 +94,12 @@ def paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return A.paragraphs(_chunks(spark, d)).groupBy("sha").agg(F.count("*").alias("paragraphs"), F.sum(F.length("paragraph")).alias("chars"))
 
 
-@REGISTRY.add("reassemble_sections")
+_CANON = r"regexp_replace(trim(regexp_replace(lower(strip_accents({0})), '[^a-z0-9]+', '-', 'g'), '-'), '^(?:(?:le|la|les|l|un|une|des|du|de|the|a|an)(?:-|$))+', '')"
+
+
+@REGISTRY.add("reassemble_sections", _C + _P + _WHOLE + rf""", g AS (SELECT sha, coalesce(nullif({_CANON.format("heading")}, ''), lower(trim(regexp_replace(coalesce(heading, ''), '\s+', ' ', 'g')))) AS hkey, arg_min(coalesce(heading, chr(0)), (idx, sec, pos)) AS heading, min((idx, sec, pos)) AS place0,
+  string_agg(paragraph, chr(10) || chr(10) ORDER BY idx, sec, pos) AS markdown FROM p WHERE sha IN (SELECT sha FROM w) GROUP BY 1, 2)
+SELECT sha, CAST(row_number() OVER (PARTITION BY sha ORDER BY place0) AS INTEGER) AS place, nullif(heading, chr(0)) AS heading, markdown FROM g""")
 def sections(spark: SparkSession, d: str) -> DataFrame:
     return A.merged_sections(A.complete_chunks(_chunks(spark, d)))
 
@@ -106,6 +121,19 @@ def warnings(spark: SparkSession, d: str) -> DataFrame:
     return A.merged_warnings(_chunks(spark, d)).groupBy("sha").agg(F.count("*").alias("warnings"))
 
 
+@REGISTRY.add("reassemble_documents", _C + """, w AS (SELECT sha FROM c GROUP BY sha HAVING count(*) = arg_min(total, CAST(idx AS VARCHAR))), d AS (SELECT * FROM c WHERE sha IN (SELECT sha FROM w)),
+ t AS (SELECT sha, count(DISTINCT tag) AS n FROM (SELECT sha, unnest(note.tags) AS tag FROM d) GROUP BY sha), q AS (SELECT sha, count(DISTINCT coalesce(nullif(e.slug, ''), e.name)) AS n FROM (SELECT sha, unnest(entities) AS e FROM d) GROUP BY sha),
+ r AS (SELECT sha, count(DISTINCT (r.from_slug, r.rel_type, r.to_slug)) AS n FROM (SELECT sha, unnest(relations) AS r FROM d) GROUP BY sha), u AS (SELECT sha, sum(v) AS n FROM (SELECT sha, unnest(map_values(extraction.usage)) AS v FROM d) GROUP BY sha)
+SELECT sha, CAST(count(*) AS INTEGER) AS chunks, arg_min(path, idx) AS path, arg_min(note.title, idx) AS title, least(8, coalesce(any_value(t.n), 0))::INTEGER AS tags, coalesce(any_value(q.n), 0)::INTEGER AS entities, coalesce(any_value(r.n), 0)::INTEGER AS relations, coalesce(any_value(u.n), 0)::BIGINT AS tokens
+FROM d LEFT JOIN t USING (sha) LEFT JOIN q USING (sha) LEFT JOIN r USING (sha) LEFT JOIN u USING (sha) GROUP BY sha""")
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    """Whole documents: what each is made of."""
+    a = A.assemble(_chunks(spark, d))
+    size = lambda x: F.coalesce(F.size(x), F.lit(0))
+    tokens = F.aggregate(F.map_values("usage"), F.lit(0).cast("long"), lambda t, x: t + x)
+    return a.select("sha", F.col("chunks_reassembled").alias("chunks"), "path", "title", size("tags").alias("tags"), size("entities").alias("entities"), size("relations").alias("relations"), F.coalesce(tokens, F.lit(0).cast("long")).alias("tokens"))
+
+
 @REGISTRY.add("usage_rollup", _C + "SELECT sha, k AS field, CAST(sum(v) AS BIGINT) AS n FROM (SELECT sha, unnest(map_keys(extraction.usage)) AS k, unnest(map_values(extraction.usage)) AS v FROM c) GROUP BY ALL")
 def usage(spark: SparkSession, d: str) -> DataFrame:
     return A.usage_totals(_chunks(spark, d))
@@ -117,7 +145,6 @@ def stale(spark: SparkSession, d: str) -> DataFrame:
     return A.stale_chunks(_chunks(spark, d), read_table(spark, d, "ledger"))
 
 
-_CANON = r"regexp_replace(trim(regexp_replace(lower(strip_accents({0})), '[^a-z0-9]+', '-', 'g'), '-'), '^(?:(?:le|la|les|l|un|une|des|du|de|the|a|an)(?:-|$))+', '')"
 _K = f""", k AS (SELECT DISTINCT key, slug FROM (SELECT slug AS key, slug FROM entity_page UNION ALL SELECT {_CANON.format("name")}, slug FROM entity_page
  UNION ALL SELECT {_CANON.format("a")}, slug FROM (SELECT unnest(aliases) AS a, slug FROM entity_page)) WHERE length(key) >= 2 AND slug IS NOT NULL)"""
 
@@ -132,7 +159,11 @@ def collisions(spark: SparkSession, d: str) -> DataFrame:
     return G.collisions(G.entity_keys(read_table(spark, d, "entity_page")))
 
 
-@REGISTRY.add("entity_matches")
+@REGISTRY.add("entity_matches", _C + _K + f""", r AS (SELECT key, min(slug) AS page FROM k GROUP BY key HAVING count(DISTINCT slug) = 1),
+ b AS (SELECT slug, name, list_sort(list_distinct(flatten(list(coalesce(aliases, []))))) AS a FROM m GROUP BY slug, name),
+ x AS (SELECT slug, name, [slug, {_CANON.format("name")}] || list_transform(a, lambda z: {_CANON.format("z")}) AS keys FROM b),
+ y AS (SELECT slug, name, unnest(keys) AS key, unnest(range(len(keys))) AS pos FROM x)
+SELECT y.slug, y.name, arg_min(page, pos) AS page FROM y JOIN r USING (key) GROUP BY y.slug, y.name""")
 def matches(spark: SparkSession, d: str) -> DataFrame:
     return G.match_entities(G.mentions(_env(spark, d)), G.resolved_keys(G.entity_keys(read_table(spark, d, "entity_page"))))
 

@@ -73,7 +73,11 @@ def front_matter_get(spark: SparkSession, d: str) -> DataFrame:
     return p.select("sub", "name", X.fm_get(X.fm_block(_lf(F.col("text"))), "title").alias("title"))
 
 
-@REGISTRY.add("strip_code_prose")
+_FENCE = r"(?sm)^[ \t]*(?:```|~~~).*?^[ \t]*(?:```|~~~)[ \t]*$"
+
+
+@REGISTRY.add("strip_code_prose", rf"""SELECT doc_id, CAST(length(regexp_replace(regexp_replace(regexp_replace(text, '{_FENCE}', '', 'g'), '(?m)^(?: {{4}}|\t).*$', '', 'g'), '`[^`\n]*`', '', 'g'))
+ + coalesce(list_sum(list_transform(regexp_extract_all(text, '{_FENCE}'), lambda x: length(x) - length(replace(x, chr(10), '')))), 0) AS INTEGER) AS prose_chars FROM documents WHERE text IS NOT NULL""")
 def prose(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).filter("text is not null").select("doc_id", F.length(X.strip_code(F.col("text"))).alias("prose_chars"))
 
@@ -104,7 +108,7 @@ def chunk_spans(spark: SparkSession, d: str) -> DataFrame:
     return C.document_spans(_docs(spark, d), "doc_id", "text", F.lit(4_000), F.lit(320))
 
 
-@REGISTRY.add("first_prose_lines")
+@REGISTRY.add("first_prose_lines", _P + r"""SELECT sub, name, left(list_filter(list_transform(string_split(body, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '' AND NOT regexp_matches(x, '^(?:#|>|-|<!--|\||\*)'))[1], 160) AS line FROM p WHERE body IS NOT NULL""")
 def first_lines(spark: SparkSession, d: str) -> DataFrame:
     return _pages(spark, d).filter("body is not null").select("sub", "name", X.first_prose_line(F.col("body")).alias("line"))
 
@@ -130,12 +134,19 @@ def index_text(spark: SparkSession, d: str) -> DataFrame:
     return V.index_text(_pages(spark, d))
 
 
-@REGISTRY.add("vault_fingerprint")
+@REGISTRY.add("vault_fingerprint", _P + """, h AS (SELECT sha256(sub || ' ' || name || ' ' || sha256(coalesce(text, ''))) AS h FROM p)
+SELECT sha256(concat_ws(' ', """ + ", ".join(f"CAST(sum(CAST('0x' || substr(h, {1 + 15 * i}, 15) AS BIGINT)) AS VARCHAR)" for i in range(4)) + """, CAST(count(*) AS VARCHAR))) AS fingerprint FROM h""")
 def fingerprint(spark: SparkSession, d: str) -> DataFrame:
-    return V.fingerprint(_pages(spark, d))
+    return V.fingerprint(V.page_lines(_pages(spark, d)))
 
 
-@REGISTRY.add("stage_problems")
+@REGISTRY.add("stage_problems", r"""WITH p AS (SELECT sub, name, coalesce(text, '') AS t FROM page WHERE deleted_at IS NULL),
+ x AS (SELECT *, regexp_extract(t, '(?s)\A---\n(.*?)(?:\n---[ \t]*(?:\n|\z)|\z)', 1) AS fm, regexp_replace(regexp_extract(t, '(?s)\A---\n.*?\n---[ \t]*\n(.*)\z', 1), '\n+\z', '') AS body FROM p),
+ y AS (SELECT *, regexp_extract(fm, '(?m)^type:\s*"?([A-Za-z_]+)"?', 1) AS kind, strlen(body) < 200 AS short FROM x)
+SELECT sub, name, problems FROM (SELECT sub, name, CASE WHEN regexp_matches(name, '[/:*?"<>|]') OR name = '.md' THEN 'name' WHEN NOT starts_with(t, '---' || chr(10)) THEN 'front matter' ELSE concat_ws(',',
+ CASE WHEN sub = 'sources' AND NOT regexp_matches(fm, '(?m)^title:') THEN 'key title' END, CASE WHEN sub = 'sources' AND NOT regexp_matches(fm, '(?m)^type:') THEN 'key type' END, CASE WHEN NOT regexp_matches(fm, '(?m)^tags:') THEN 'key tags' END,
+ CASE WHEN sub = 'sources' AND NOT regexp_matches(fm, '(?m)^last_updated:') THEN 'key last_updated' END,
+ CASE WHEN NOT CASE sub WHEN 'sources' THEN kind = 'source' WHEN 'entities' THEN kind IN ('', 'entity') ELSE kind IN ('', 'concept') END THEN 'type' END, CASE WHEN short THEN 'short' END, CASE WHEN NOT short AND NOT regexp_matches(body, '(?m)^#') THEN 'heading' END) END AS problems FROM y) WHERE problems <> ''""")
 def problems(spark: SparkSession, d: str) -> DataFrame:
     return V.stage_problems(_pages(spark, d)).filter("problems <> ''")
 
@@ -154,10 +165,13 @@ def source_pages(spark: SparkSession, d: str) -> DataFrame:
     head = c.groupBy("sha").agg(F.min_by(F.struct("path", F.col("note.title").alias("title"), F.col("note.doc_date").alias("doc_date"), "extracted_at"), "idx").alias("h"))
     sections = A.merged_sections(c).groupBy("sha").agg(F.array_sort(F.collect_list(F.struct("place", "heading", "markdown"))).alias("sections"))
     tags = A.top_tags(c).groupBy("sha").agg(F.array_sort(F.collect_list(F.struct("place", "tag"))).alias("tags"))
-    j = head.join(A.summaries(c), "sha").join(sections, "sha", "left").join(tags, "sha", "left")
+    warnings = A.merged_warnings(c).groupBy("sha").agg(F.array_sort(F.collect_list(F.struct("at", "text"))).alias("warnings"))
+    m = G.mentions(read_table(spark, d, "envelope"))
+    told = V.told_entities(c, G.upsert(m), G.promoted(m))
+    j = head.join(A.summaries(c), "sha").join(sections, "sha", "left").join(tags, "sha", "left").join(warnings, "sha", "left").join(told, "sha", "left")
     day = D.note_date(F.col("h.doc_date"), F.col("h.extracted_at"), F.to_date(F.lit("2026-01-01")))
-    none = F.array().cast("array<struct<kind:string,about:string,text:string>>")
-    page = V.source_page(F.coalesce("h.title", F.lit("")), F.transform(F.coalesce("tags", F.array().cast("array<struct<place:int,tag:string>>")), lambda t: t.tag), day, F.col("summary"), F.transform("sections", lambda s: F.struct(s.heading.alias("heading"), s.markdown.alias("markdown"))), none, F.col("h.path"))
+    names = F.coalesce("names", F.create_map().cast("map<string,string>"))
+    page = V.source_page(F.coalesce("h.title", F.lit("")), F.transform("tags", lambda t: t.tag), day, F.col("summary"), F.transform("sections", lambda s: F.struct(s.heading.alias("heading"), s.markdown.alias("markdown"))), F.transform("warnings", lambda w: w.text), F.col("entities"), F.col("sha"), F.col("h.path"), names, F.coalesce("promoted", F.array().cast("array<string>")))
     return j.select("sha", page.alias("content"))
 
 
@@ -179,17 +193,24 @@ def fix_plan(spark: SparkSession, d: str) -> DataFrame:
     return R.front_matter_plan(_pages(spark, d)).select("sub", "name", "added", "skip")
 
 
-@REGISTRY.add("fix_plan_counters")
+_PLAN = r""", q0 AS (SELECT *, CASE WHEN contains(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13)) THEN 'cr' WHEN err IS NOT NULL OR fm IS NULL THEN 'front matter' WHEN lower(coalesce(fm['stub'], '')) = 'true' THEN 'stub' END AS skip,
+  regexp_replace(regexp_extract(body, '(?m)^#\s+(.+)$', 1), '^\s+|\s+$', '', 'g') AS head FROM p),
+ q1 AS (SELECT *, CASE WHEN skip IS NULL THEN list_filter([CASE WHEN coalesce(fm['type'], '') = '' THEN 'type' END, CASE WHEN coalesce(fm['title'], '') = '' THEN 'title' END, CASE WHEN sub = 'sources' AND coalesce(fm['last_updated'], '') = '' THEN 'last_updated' END], lambda x: x IS NOT NULL) ELSE [] END AS added,
+  skip IS NULL AND coalesce(length(regexp_replace(body, '^\s+|\s+$', '', 'g')) >= 200 AND NOT regexp_matches(body, '(?m)^#'), false) AS put FROM q0) """
+
+
+@REGISTRY.add("fix_plan_counters", _P + _PLAN + """SELECT what, count(*) AS n FROM (SELECT 'added:' || unnest(added) AS what FROM q1 UNION ALL SELECT 'title from:' || CASE WHEN coalesce(head, '') <> '' THEN 'heading' ELSE 'file name' END FROM q1 WHERE list_contains(added, 'title')
+ UNION ALL SELECT 'line ends:' || CASE WHEN contains(coalesce(text, ''), chr(13) || chr(10)) THEN 'crlf' ELSE 'lf' END FROM q1 WHERE len(added) > 0 OR put UNION ALL SELECT 'skip:' || skip FROM q1 WHERE skip IS NOT NULL) GROUP BY what""")
 def fix_counters(spark: SparkSession, d: str) -> DataFrame:
     return R.plan_counters(R.front_matter_plan(_pages(spark, d)))
 
 
-@REGISTRY.add("fix_verify")
+@REGISTRY.add("fix_verify", _P + _PLAN + "SELECT CASE WHEN put THEN 'heading added' ELSE 'same' END AS verdict, count(*) AS n FROM q1 WHERE skip IS NULL AND (len(added) > 0 OR put) GROUP BY 1")
 def fix_verify(spark: SparkSession, d: str) -> DataFrame:
     """What the repair did to each body: the new texts are parsed again and compared with the old."""
     p = _pages(spark, d)
     rel = F.concat_ws("/", "sub", "name").alias("rel")
-    new = R.fixed_text(p, F.to_date(F.lit("2026-01-01")))
+    new = R.fixed_text(p, F.to_date(F.lit("2026-01-01")), F.col("created_at"))
     after = new.select(rel, X.front_matter(F.replace("new_text", F.lit("\r\n"), F.lit("\n"))).body.alias("body"))
     before = p.select(rel, F.replace("body", F.lit("\r\n"), F.lit("\n")).alias("body"))
     return R.verify(before, after).groupBy("verdict").agg(F.count("*").alias("n"))

@@ -38,8 +38,8 @@ def file_counts(files: DataFrame) -> DataFrame:
 
 
 def text_of(content):  # noqa: ANN001, ANN201
-    """A file's bytes as text; null where they are no UTF-8."""
-    return F.try_validate_utf8(content.cast("string"))
+    """A file's bytes as text; what is no UTF-8 becomes replacement characters."""
+    return F.make_valid_utf8(content.cast("string"))
 
 
 def pages(spark: SparkSession, wiki: str) -> DataFrame:
@@ -86,7 +86,63 @@ def curated_index(text: DataFrame) -> DataFrame:
     return s.filter("section is not null and target <> ''").select("section", "ord", "target")
 
 
-def listed_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path): the files that a list names, one a line; blank lines and comments do not count."""
+def listed_files(spark: SparkSession, path: str, there: DataFrame | None = None) -> DataFrame:
+    """(path): the files that a list names, one a line; blank lines and comments do not count, nor, with a listing (path), what is not there."""
     t = spark.read.text(path).select(F.trim("value").alias("path"))
-    return t.filter(~F.startswith("path", F.lit("#")) & (F.col("path") != "")).distinct()
+    t = t.filter(~F.startswith("path", F.lit("#")) & (F.col("path") != "")).distinct()
+    return t if there is None else t.join(there.select("path"), "path", "left_semi")
+
+
+def file_listing(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length, modificationTime) of every file under a folder; contents are not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", "modificationTime")
+
+
+def processing_order(files: DataFrame, *, first: str = "", most: int | None = None) -> DataFrame:
+    """Files (path, length, …) in the order of processing: those whose path contains ``first``, then the small ones, then by path; with ``most`` only so many."""
+    out = files.orderBy(F.when(F.contains("path", F.lit(first)), 0).otherwise(1) if first else F.lit(0), "length", "path")
+    return out if most is None else out.limit(most)
+
+
+def eligible_notes(spark: SparkSession, root: str, settled: DataFrame, *, most: int | None = None) -> DataFrame:
+    """The notes (md, txt, docx by exact suffix) that the ledger has not settled (path), at most ``most`` of them, in any order."""
+    left = raw_files(spark, root, suffixes=(".md", ".txt", ".docx"), any_case=False).select("path", "length", "modificationTime").join(settled.select("path").distinct(), "path", "left_anti")
+    return left if most is None else left.limit(most)
+
+
+REGISTRY = (
+    "key string, name string, kind string, subtype string, aliases array<string>, tags array<string>, docs array<string>, max_salience string, "
+    "definitions array<struct<doc:string,text:string,salience:string>>, first_seen string, last_seen string, promoted_at string"
+)
+
+
+def registry_file(spark: SparkSession, path: str) -> DataFrame:
+    """The registry of entities, one JSON object of records by key; empty where the file is missing or cannot be read."""
+    value = T._parse_datatype_string(REGISTRY)
+    empty = spark.createDataFrame([], REGISTRY)
+    try:
+        text = spark.read.format("binaryFile").load(path).select(F.decode("content", F.lit("UTF-8")).alias("text"))
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e):
+            return empty
+        raise
+    record = T.StructType([f for f in value.fields if f.name != "key"])
+    rows = text.filter(F.try_parse_json("text").isNotNull()).select(F.explode(F.from_json("text", T.MapType(T.StringType(), record))).alias("key", "r"))
+    return rows.select("key", *[F.col(f"r.{n}") for n in record.names])
+
+
+def spool_files(spark: SparkSession, root: str, *, keep: int = 200, take: int = 20) -> DataFrame:
+    """(path, length, modificationTime, content, purge, turn): the messages of a flat spool folder. ``purge`` marks all but the ``keep`` newest, ``turn`` numbers the
+    others from the oldest; a run takes the first ``take``. The folder holds what waits for one run, not a corpus."""
+    f = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(root)
+    newest = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("modificationTime"), F.desc("path")))
+    marked = f.withColumn("purge", newest > keep)
+    turn = F.row_number().over(Window.partitionBy("purge").orderBy("modificationTime", "path"))
+    return marked.withColumn("turn", F.when(~F.col("purge"), turn)).withColumn("taken", F.coalesce(F.col("turn") <= take, F.lit(False)))
+
+
+def spool_messages(files: DataFrame) -> DataFrame:
+    """(path, emoji, text, persist, attach) of the spool files that are taken and fit to send: at most 65,536 bytes, JSON, with text."""
+    fit = files.filter(F.col("taken") & (F.col("length") <= 65_536)).withColumn("raw", F.make_valid_utf8(F.col("content").cast("string"))).filter(F.try_parse_json("raw").isNotNull())
+    m = fit.select("path", "turn", F.from_json("raw", "emoji string, text string, persist int, attach string").alias("m")).select("path", "turn", "m.*")
+    return m.filter(X.strip(F.coalesce("text", F.lit(""))) != "").orderBy("turn").drop("turn")
