@@ -10,10 +10,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import dates as D
 from ..functions import text as X
+from ..session import in_order
 
 SEVERITIES = ("CRITIQUE", "MAJEUR", "MINEUR", "INFO")
 FOLDERS = ("sources", "entities", "concepts")
@@ -254,7 +254,9 @@ def severity_counts(findings: DataFrame) -> DataFrame:
 def report_order(findings: DataFrame) -> DataFrame:
     """Findings with their place in the report: by severity, then rule and location as text."""
     s = F.array_position(F.array(*map(F.lit, SEVERITIES)), F.col("severity"))
-    return findings.withColumn("place", F.row_number().over(Window.partitionBy("severity").orderBy("rule", "location", "observed"))).withColumn("section", s)
+    placed = in_order(findings.withColumn("section", s), ["section", "rule", "location", "observed"], "_all")
+    first = placed.groupBy("section").agg((F.min("_all") - 1).alias("_before"))  # a row a severity
+    return placed.join(first, "section").withColumn("place", F.col("_all") - F.col("_before")).drop("_all", "_before")
 
 
 def failed(findings: DataFrame) -> DataFrame:

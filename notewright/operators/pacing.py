@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,23 +16,57 @@ START_MS, STEP_MS, STREAK, FACTOR = 4_000, 250, 10, 2
 LONG_DELAY_S, STRIKES = 3_600, 3
 
 
+def _folded(calls: DataFrame, key: str, order: list[str], value: Column, start, step, out: str):  # noqa: ANN001, ANN202
+    """(key, …): a state folded over the values of each key in order. Rows are sorted within partitions and read in batches, so a key may have any number."""
+    src = calls.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], value.alias("_v"))
+    src = src.repartition("_k").sortWithinPartitions("_k", *[f"_o{i}" for i in range(len(order))]).select("_k", "_v")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = object()
+        now, state, done = none, start, []
+        for b in batches:
+            for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if k != now:
+                    if now is not none:
+                        done.append((now, *state))
+                    now, state = k, start
+                state = step(state, v)
+            if done:
+                yield _rows(b.schema.field(0).type, done)
+                done = []
+        if now is not none:
+            yield _rows(pa.string(), [(now, *state)])
+
+    return src.mapInArrow(run, f"{key} string, {out}")
+
+
+def _rows(kind: pa.DataType, rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], kind), *[pa.array(c, pa.int64()) for c in cols[1:]]], [str(i) for i in range(len(cols))])
+
+
+def _pace(state: tuple[int, int, int], ok: bool) -> tuple[int, int, int]:
+    ms, streak, n = state
+    clamp = lambda x: max(N.LEAST_INTERVAL_MS, min(N.MOST_INTERVAL_MS, x))
+    if not ok:
+        return clamp(ms * FACTOR), 0, n + 1
+    return (clamp(ms - STEP_MS), 0, n + 1) if streak + 1 >= STREAK else (ms, streak + 1, n + 1)
+
+
 def paced(calls: DataFrame, key: str, order: list[str], ok: Column) -> DataFrame:
-    """(key, interval_ms, ok_streak, calls): the interval after all calls of a key in order: ten good ones in a row shorten it, a refusal doubles it."""
-    log = calls.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, ok.alias("ok")))).alias("log"))
-    zero = F.struct(F.lit(START_MS).cast("long").alias("ms"), F.lit(0).alias("s"))
+    """(key, interval_ms, ok_streak, calls): the interval after all calls of a pacer in order: ten good ones in a row shorten it, a refusal doubles it. The key is a
+    pacer: a constant where all calls share one."""
+    out = _folded(calls, key, order, ok, (START_MS, 0, 0), _pace, "interval_ms bigint, ok_streak bigint, calls bigint")
+    return out.withColumn("ok_streak", F.col("ok_streak").cast("int"))
 
-    def step(a: Column, x: Column) -> Column:
-        good = F.when(a.s + 1 >= STREAK, F.struct(N.clamp_interval(a.ms - STEP_MS).alias("ms"), F.lit(0).alias("s"))).otherwise(F.struct(a.ms.alias("ms"), (a.s + 1).alias("s")))
-        return F.when(x.ok, good).otherwise(F.struct(N.clamp_interval(a.ms * FACTOR).alias("ms"), F.lit(0).alias("s")))
 
-    return log.withColumn("r", F.aggregate("log", zero, step)).select(key, F.col("r.ms").alias("interval_ms"), F.col("r.s").alias("ok_streak"), F.size("log").cast("long").alias("calls"))
+def _smooth(state: tuple[int | None], ms: int) -> tuple[int]:
+    return (ms if state[0] is None else math.floor(state[0] * 0.7 + ms * 0.3),)
 
 
 def smoothed_latency(calls: DataFrame, key: str, order: list[str], ms: Column) -> DataFrame:
     """(key, latency_ms): seven tenths of the value so far and three of the new one, whole milliseconds at each step; the first is taken as it is."""
-    log = calls.filter(ms.isNotNull()).groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, ms.cast("long").alias("ms")))).alias("log"))
-    fold = F.aggregate("log", F.lit(None).cast("long"), lambda a, x: F.when(a.isNull(), x.ms).otherwise(F.floor(a * 0.7 + x.ms * 0.3).cast("long")))
-    return log.select(key, fold.alias("latency_ms"))
+    return _folded(calls.filter(ms.isNotNull()), key, order, ms.cast("long"), (None,), _smooth, "latency_ms bigint")
 
 
 def quota_scope(quota_id: Column, retry_s: Column) -> Column:

@@ -49,16 +49,24 @@ def match_entities(m: DataFrame, resolved: DataFrame) -> DataFrame:
 def upsert(m: DataFrame) -> DataFrame:
     """The registry by entity: name, kind and subtype of the first mention, united aliases, tags and documents, the highest salience, the first and last day."""
     at = F.struct("sha", "idx", "pos")
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))
-    return m.filter("coalesce(slug, '') <> ''").groupBy("slug").agg(
+    m = m.filter("coalesce(slug, '') <> ''")
+    # Lists are taken apart and made different before they are collected, so an entity that many documents mention holds each value once only.
+    each = F.concat(*[F.transform(F.coalesce(c, F.array().cast("array<string>")), _kind(c)) for c in ("aliases", "tags")], F.array(F.struct(F.lit("docs").alias("c"), F.col("doc").alias("x"))))
+    values = m.select("slug", F.explode(each).alias("v")).select("slug", "v.*").filter("x is not null").distinct()
+    of = lambda c: F.array_sort(F.collect_list(F.when(F.col("c") == c, F.col("x")))).alias(c)
+    lists = values.groupBy("slug").agg(of("aliases"), of("tags"), of("docs"))
+    g = m.groupBy("slug").agg(
         F.min_by(F.struct("name", "kind", "subtype"), at).alias("f"),
-        union("aliases").alias("aliases"),
-        union("tags").alias("tags"),
-        F.array_sort(F.collect_set("doc")).alias("docs"),
         F.max_by("salience", F.struct(salience_rank(F.col("salience")), F.col("salience"))).alias("max_salience"),
         F.min("day").alias("first_seen"),
         F.max("day").alias("last_seen"),
-    ).select("slug", "f.*", "aliases", "tags", "docs", "max_salience", "first_seen", "last_seen")
+    )
+    none = F.array().cast("array<string>")
+    return g.join(lists, "slug", "left").select("slug", "f.*", *[F.coalesce(c, none).alias(c) for c in ("aliases", "tags", "docs")], "max_salience", "first_seen", "last_seen")
+
+
+def _kind(c: str):  # noqa: ANN202
+    return lambda x: F.struct(F.lit(c).alias("c"), x.alias("x"))
 
 
 def merge_registry(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,20 +15,31 @@ BEGIN, END = "<!-- AUTO:BEGIN -->", "<!-- AUTO:END -->"
 
 
 def index_pages(pages: DataFrame, *, rows: int = PAGE_ROWS, over: int = PAGINATE_OVER) -> DataFrame:
-    """(sub, page_no, first, last, n): the index of each folder in pages of ``rows`` names, sorted by file name; one page up to ``over`` names. Ranked in two steps: names are
-    counted by their first signs, so that no task sorts a whole folder."""
-    p = pages.select("sub", "name", F.left("name", F.lit(4)).alias("head"))
+    """(sub, page_no, first, last, n): the index of each folder in pages of ``rows`` names, sorted by file name; one page up to ``over`` names."""
+    return paginated(pages, [], rows, over).groupBy("sub", "page_no").agg(F.min("name").alias("first"), F.max("name").alias("last"), F.count("*").alias("n"))
+
+
+def paginated(pages: DataFrame, keep: list[str], rows: int, over: int) -> DataFrame:
+    """(sub, name, page_no, keep): the page of its folder's index that each name is on. Ranked in two steps: names are counted by their first signs, so that no
+    task sorts a whole folder."""
+    p = pages.select("sub", "name", *keep, F.left("name", F.lit(4)).alias("head"))
     starts = p.groupBy("sub", "head").agg(F.count("*").alias("n")).withColumn("start", F.coalesce(F.sum("n").over(Window.partitionBy("sub").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("total", F.sum("n").over(Window.partitionBy("sub"))).drop("n")
     r = p.withColumn("r", F.row_number().over(Window.partitionBy("sub", "head").orderBy("name"))).join(starts, ["sub", "head"])
     no = F.when(F.col("total") <= over, 1).otherwise(F.ceil((F.col("start") + F.col("r")) / rows)).cast("long")
-    return r.groupBy("sub", no.alias("page_no")).agg(F.min("name").alias("first"), F.max("name").alias("last"), F.count("*").alias("n"))
+    return r.select("sub", "name", *keep, no.alias("page_no"))
 
 
-def index_text(pages: DataFrame) -> DataFrame:
-    """(sub, n, text): a list of links by folder, in the order of names."""
+def index_text(pages: DataFrame, *, rows: int = PAGE_ROWS, over: int = PAGINATE_OVER) -> DataFrame:
+    """(sub, page_no, n, text): the links of each page of a folder's index, in the order of names. A row holds ``over`` links at most."""
     link = F.concat(F.lit("- [["), F.col("stem"), F.lit("]]"))
-    g = pages.groupBy("sub").agg(F.array_sort(F.collect_list(F.struct("name", link.alias("l")))).alias("ls"))
-    return g.select("sub", F.size("ls").alias("n"), F.array_join(F.transform("ls", lambda x: x.l), "\n").alias("text"))
+    g = paginated(pages, ["stem"], rows, over).groupBy("sub", "page_no").agg(F.array_sort(F.collect_list(F.struct("name", link.alias("l")))).alias("ls"))
+    return g.select("sub", "page_no", F.size("ls").alias("n"), F.array_join(F.transform("ls", lambda x: x.l), "\n").alias("text"))
+
+
+def index_summary(index: DataFrame) -> DataFrame:
+    """(sub, page_no, line): the lines of a folder's index summary: a link to each page of the index with its first and last name."""
+    first, last = (F.regexp_replace(c, r"\.md$", "") for c in ("first", "last"))
+    return index.select("sub", "page_no", F.format_string("- [[index-%s-%03d]] : %s … %s (%d)", "sub", "page_no", first, last, "n").alias("line"))
 
 
 def entity_block(entities: DataFrame) -> DataFrame:
@@ -188,11 +201,18 @@ def json_report(findings: DataFrame, pages: DataFrame, at: str, path: str) -> No
     pages.agg(F.lit(at).alias("generated_at"), F.count("*").alias("pages")).write.mode("overwrite").json(f"{path}/summary")
 
 
-def report_section(findings: DataFrame) -> DataFrame:
-    """(severity, n, text): the findings of each severity as a Markdown table, in the order of rule and location."""
+def report_lines(ordered: DataFrame, pages: DataFrame, state: DataFrame) -> DataFrame:
+    """(section, place, line): the report as lines of Markdown: totals by severity and the ledger's by status (section 0), then a table a severity, its head at
+    place 0. ``ordered``: findings with section and place. Lines are rows, so no severity is held in one."""
     row = F.concat(F.lit("| "), F.concat_ws(" | ", F.col("rule"), X.table_cell(F.col("location")), X.table_cell(F.coalesce("observed", F.lit("")))), F.lit(" |"))
-    g = findings.groupBy("severity").agg(F.array_sort(F.collect_list(F.struct("rule", "location", row.alias("t")))).alias("rows"))
-    return g.select("severity", F.size("rows").alias("n"), F.array_join(F.transform("rows", lambda x: x.t), "\n").alias("text"))
+    body = ordered.select("section", F.col("place").cast("long").alias("place"), row.alias("line"))
+    totals = ordered.groupBy("section", "severity").agg(F.count("*").alias("n"))  # a row a severity
+    heads = totals.select("section", F.lit(0).cast("long").alias("place"), F.concat(F.lit("## "), "severity", F.lit("\n\n| rule | location | observed |\n|---|---|---|")).alias("line"))
+    zero = F.lit(0).cast("long").alias("section")
+    count = pages.agg(F.concat(F.lit("pages: "), F.count("*").cast("string")).alias("line")).select(zero, F.lit(0).cast("long").alias("place"), "line")
+    sums = totals.select(zero, F.col("section").cast("long").alias("place"), F.concat("severity", F.lit(": "), F.col("n").cast("string")).alias("line"))
+    ledger = state.groupBy("status").agg(F.count("*").alias("n")).select(zero, F.lit(9).cast("long").alias("place"), F.concat(F.lit("ledger "), F.coalesce("status", F.lit("none")), F.lit(": "), F.col("n").cast("string")).alias("line"))
+    return reduce(DataFrame.unionByName, [body.withColumn("section", F.col("section").cast("long")), heads.withColumn("section", F.col("section").cast("long")), count, sums, ledger])
 
 
 def newest(files: DataFrame, group: str, at: str, keep: int) -> DataFrame:

@@ -129,7 +129,8 @@ def index_pages(spark: SparkSession, d: str) -> DataFrame:
     return V.index_pages(_pages(spark, d))
 
 
-@REGISTRY.add("index_text", _P + "SELECT sub, CAST(count(*) AS INTEGER) AS n, string_agg('- [[' || stem || ']]', chr(10) ORDER BY name) AS text FROM p GROUP BY sub")
+@REGISTRY.add("index_text", _P + """SELECT sub, page_no, CAST(count(*) AS INTEGER) AS n, string_agg('- [[' || stem || ']]', chr(10) ORDER BY name) AS text
+ FROM (SELECT sub, name, stem, CAST(CASE WHEN count(*) OVER (PARTITION BY sub) <= 600 THEN 1 ELSE ceil(row_number() OVER (PARTITION BY sub ORDER BY name) / 250) END AS BIGINT) AS page_no FROM p) GROUP BY sub, page_no""")
 def index_text(spark: SparkSession, d: str) -> DataFrame:
     return V.index_text(_pages(spark, d))
 

@@ -121,7 +121,7 @@ def registry_file(spark: SparkSession, path: str) -> DataFrame:
     value = T._parse_datatype_string(REGISTRY)
     empty = spark.createDataFrame([], REGISTRY)
     try:
-        text = spark.read.format("binaryFile").load(path).select(F.decode("content", F.lit("UTF-8")).alias("text"))
+        text = spark.read.format("binaryFile").load(path).select(F.decode("content", "UTF-8").alias("text"))
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e):
             return empty

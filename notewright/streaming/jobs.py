@@ -12,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import text as X
 from ..session import shared_folder
+from ..sources.sinks import current_table, replace_table
 
 CHUNKS = "sha string, chunks int, total int, first_idx int, last_idx int"
 
@@ -66,6 +67,29 @@ def running_state(ledger: DataFrame) -> DataFrame:
     return ledger.filter("coalesce(path, '') <> ''").groupBy("path").agg(F.max_by("status", "ord").alias("status"), F.max("ord").alias("ord"))
 
 
+def watched_messages(spark: SparkSession, folder: str, *, files: int = 20) -> DataFrame:
+    """(emoji, text, persist, attach, path): the JSON messages of a spool folder as they come, one a file, oldest first, at most ``files`` a batch; a file that is no JSON has
+    no text."""
+    s = spark.readStream.format("text").schema("value string").option("wholetext", "true").option("maxFilesPerTrigger", files).option("latestFirst", "false").option("pathGlobFilter", "*.json").load(folder)
+    return s.select(F.from_json("value", "emoji string, text string, persist int, attach string").alias("m"), F.col("_metadata.file_path").alias("path")).select("m.*", "path")
+
+
+def upserted(path: str, merge: Callable[[DataFrame, DataFrame], DataFrame], make: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A sink that keeps a versioned table of state across batches: what ``make`` makes of a batch is merged into the version last named, by ``merge(old, new)``, and
+    named in turn. ``_batch`` is the last batch that the table holds; one that is done again changes nothing."""
+
+    def sink(batch: DataFrame, n: int) -> None:
+        new, old = make(batch), current_table(batch.sparkSession, path)
+        if old is not None:
+            seen = old.agg(F.max("_batch").alias("b")).first()["b"]
+            if seen is not None and seen >= n:
+                return
+            new = merge(old.drop("_batch"), new)
+        replace_table(new.withColumn("_batch", F.lit(n).cast("bigint")), path)
+
+    return sink
+
+
 def drained(messages: DataFrame) -> DataFrame:
     """Notifications (emoji, text, persist, attach) fit to send: of a fair size, with text, secrets hidden, cut to 3,600 bytes, and only audit reports attached."""
     m = messages.filter((F.octet_length(F.coalesce("text", F.lit(""))) <= 65_536) & (F.trim(F.coalesce("text", F.lit(""))) != ""))
