@@ -102,24 +102,26 @@ def _bands(sketches: Column) -> Column:
 
 
 def candidate_pairs(sketched: DataFrame, *, hot: int = HOT) -> DataFrame:
-    """(a, b): pages (k, n, ord, sketch) that share a band and whose lengths and sketches are near enough; a stands before b."""
-    bands = sketched.select("k", "n", "ord", F.explode(_bands(F.col("sketch"))).alias("band"))
+    """(a, b): pages (id, k, n, ord, sketch) that share a band and whose lengths and sketches are near enough; a stands before b. Bands travel with the page's
+    number and length only."""
+    bands = sketched.select("id", "n", F.explode(_bands(F.col("sketch"))).alias("band"))
     large = bands.groupBy("band").agg(F.count("*").alias("m")).filter(F.col("m") > hot).select("band")
     if large.limit(1).count():
         large = written(large, "hot-bands")
-        within = bands.join(large, "band").select("k", "n", "ord", F.col("band").alias("first"))
-        other = sketched.select("k", F.explode(_bands(F.col("sketch"))).alias("second"))
-        cut = within.join(other, "k").filter("first <> second").select("k", "n", "ord", F.xxhash64("first", "second").alias("band"))
-        bands = bands.join(large, "band", "left_anti").select("k", "n", "ord", "band").unionByName(cut)
-    side = lambda x: bands.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("k", "n", "ord")])
+        within = bands.join(large, "band").select("id", "n", F.col("band").alias("first"))
+        other = sketched.select("id", F.explode(_bands(F.col("sketch"))).alias("second"))
+        cut = within.join(other, "id").filter("first <> second").select("id", "n", F.xxhash64("first", "second").alias("band"))
+        bands = bands.join(large, "band", "left_anti").select("id", "n", "band").unionByName(cut)
+    side = lambda x: bands.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "n")])
     near = (F.abs(F.col("n_a") - F.col("n_b")) <= 0.25 * F.greatest("n_a", "n_b")) & (F.abs(F.floor(F.col("n_a") / STEP) - F.floor(F.col("n_b") / STEP)) <= 1)
     # The ratio is 2 M / (a + b) of the first characters, and M is at most the shorter of them.
     a, b = (F.least(c, F.lit(PREFIX)) for c in ("n_a", "n_b"))
-    met = side("a").join(side("b"), "band").filter((F.col("ord_a") < F.col("ord_b")) & near & (2 * F.least(a, b) > LIMIT * (a + b)))
-    pairs = met.select(F.col("k_a").alias("a"), F.col("k_b").alias("b")).distinct()
-    s = lambda x: sketched.select(F.col("k").alias(x), F.col("sketch").alias(f"s{x}"))
+    met = side("a").join(side("b"), "band").filter((F.col("id_a") < F.col("id_b")) & near & (2 * F.least(a, b) > LIMIT * (a + b)))
+    pairs = met.select("id_a", "id_b").distinct()
+    s = lambda x: sketched.select(F.col("id").alias(f"id_{x}"), F.struct("ord", "k").alias(x), F.col("sketch").alias(f"s{x}"))
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
-    return pairs.join(s("a"), "a").join(s("b"), "b").filter(agree >= AGREE).select("a", "b")
+    both = pairs.join(s("a"), "id_a").join(s("b"), "id_b").filter(agree >= AGREE)
+    return both.select(F.least("a", "b").k.alias("a"), F.greatest("a", "b").k.alias("b"))
 
 
 def near_duplicates(pages: DataFrame, key: str, body: str, order: Column | None = None) -> DataFrame:
@@ -128,8 +130,9 @@ def near_duplicates(pages: DataFrame, key: str, body: str, order: Column | None
     p = pages.filter((F.length(body) >= LEAST) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(body).alias("body"), F.struct(F.floor(F.length(body) / STEP), *([order] if order is not None else []), F.col(key)).alias("ord"))
     # By the digest of the whole body: longer texts may begin alike and differ after that, and are a pair.
     one = p.groupBy(F.sha2("body", 256).alias("h")).agg(F.min("ord").alias("ord"), F.min_by(F.struct("k", F.left("body", F.lit(PREFIX)).alias("t"), F.length("body").alias("n")), "k").alias("r")).select("ord", "r.*")
-    one = written(one.mapInArrow(_sketches, T.StructType([*one.schema.fields, T.StructField("sketch", T.ArrayType(T.IntegerType()))])), "bodies")
-    pairs = written(candidate_pairs(one.select("k", "n", "ord", "sketch")), "candidates")
+    one = one.mapInArrow(_sketches, T.StructType([*one.schema.fields, T.StructField("sketch", T.ArrayType(T.IntegerType()))]))
+    one = written(one.withColumn("id", F.monotonically_increasing_id()), "bodies")
+    pairs = written(candidate_pairs(one.select("id", "k", "n", "ord", "sketch")), "candidates")
     full = pairs.join(one.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a").join(one.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
     tasks = max(4 * pages.sparkSession.sparkContext.defaultParallelism, pairs.count() // 2_000)
     return full.select("a", "b", "ta", "tb").repartition(tasks, "a", "b").mapInArrow(_ratios, "a string, b string, ratio double").filter(F.col("ratio") > LIMIT)

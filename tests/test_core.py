@@ -219,7 +219,7 @@ def test_hot_bands_are_cut_without_losing_what_is_alike(spark):
         w[rnd.randrange(120)] = f"autre{i}"
         rows.append((f"k{i:02d}", " ".join(w)))
     df = spark.createDataFrame(rows, "k string, t string").withColumn("n", F.length("t")).withColumn("ord", F.struct("k"))
-    sketched = df.mapInArrow(similarity._sketches, "k string, t string, n int, ord struct<k:string>, sketch array<int>").select("k", "n", "ord", "sketch")
+    sketched = df.mapInArrow(similarity._sketches, "k string, t string, n int, ord struct<k:string>, sketch array<int>").withColumn("id", F.xxhash64("k"))
     every = {tuple(r) for r in similarity.candidate_pairs(sketched).collect()}
     assert every == {tuple(r) for r in similarity.candidate_pairs(sketched, hot=5).collect()} and len(every) == 60 * 59 // 2
 
