@@ -75,6 +75,11 @@ def page_links(pages: DataFrame) -> DataFrame:
     return pages.filter("body is not null").select("sub", "name", F.explode(X.wikilinks(F.coalesce("prose", "body"))).alias("target"))
 
 
+def told_links(pages: DataFrame) -> DataFrame:
+    """(sub, name, target, n): the links with the number of pages that their target names; null without one. All link rules read this one join."""
+    return page_links(pages).join(pages.groupBy(F.col("stem").alias("target")).agg(F.count("*").alias("n")), "target", "left").select("sub", "name", "target", "n")
+
+
 def page_order() -> Column:
     """The place of a page: by folder, then by name."""
     return F.struct(F.array_position(F.array(*map(F.lit, FOLDERS)), F.col("sub")).alias("o"), F.col("name").alias("n"))
@@ -158,19 +163,18 @@ def r2(pages: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def r3(pages: DataFrame, links: DataFrame | None = None) -> DataFrame:
-    """Links to pages that are not there. ``links``: those of ``page_links``, where they are at hand."""
-    return _find((links or page_links(pages)).join(pages.select(F.col("stem").alias("target")).distinct(), "target", "left_anti"), "MAJEUR", "R3", F.col("target"))
+    """Links to pages that are not there. ``links``: those of ``told_links``, where they are at hand."""
+    return _find((links or told_links(pages)).filter("n is null"), "MAJEUR", "R3", F.col("target"))
 
 
 def r4(pages: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """Links to stems of several folders."""
-    many = pages.groupBy(F.col("stem").alias("target")).agg(F.count("*").alias("n")).filter("n > 1").select("target")
-    return _find((links or page_links(pages)).join(many, "target"), "MINEUR", "R4", F.col("target"))
+    return _find((links or told_links(pages)).filter("n > 1"), "MINEUR", "R4", F.col("target"))
 
 
 def r6(pages: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """Pages that no page links to, but for stubs."""
-    cited = (links or page_links(pages)).select(F.col("target").alias("stem")).distinct()
+    cited = (links or told_links(pages)).filter("n is not null").select(F.col("target").alias("stem")).distinct()
     return _find(_first_of_stem(pages).filter("not any_stub").join(cited, "stem", "left_anti"), "INFO", "R6", F.col("stem"))
 
 
@@ -233,7 +237,7 @@ def r22(pages: DataFrame, *, least: int = 3) -> DataFrame:
 def r23(pages: DataFrame, links: DataFrame | None = None, *, least: int = 4) -> DataFrame:
     """Of the pages that link to one page, the first two do not mention each other. Only the two smallest are kept by target, so a hot target costs no more."""
     key = F.struct("sub", "name")
-    edges = (links or page_links(pages)).join(pages.select(F.col("stem").alias("target")).distinct(), "target", "left_semi").distinct()
+    edges = (links or told_links(pages)).filter("n is not null").select("sub", "name", "target").distinct()
     low = edges.groupBy("target").agg(F.min(key).alias("a"), F.count("*").alias("n")).filter(F.col("n") >= least)
     second = edges.join(low.select("target", "a"), "target").filter(F.struct("sub", "name") > F.col("a")).groupBy("target").agg(F.min(key).alias("b"))
     body = pages.select(key.alias("k"), "stem", "body")
