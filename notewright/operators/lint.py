@@ -113,23 +113,23 @@ def _injections() -> Column:
 def _page_rules(today: Column) -> dict[str, Column]:
     """Of each rule that looks at one page alone, the array of what it finds there: severity, observed, location."""
     ok = F.col("err").isNull() & F.col("fm").isNotNull()
-    n, name = F.length(X.strip(F.col("body"))), F.col("name")
+    n, floor, name = F.col("_n"), F.col("_floor"), F.col("name")
     lacks = lambda k: F.coalesce(_fm(k), F.lit("")) == ""
     required = [F.when(ok & F.col("sub").isin([s for s, ks in REQUIRED.items() if k in ks]) & lacks(k), _item("MAJEUR", F.lit(k))) for k in ("title", "type", "tags", "last_updated")]
     fits = reduce(lambda a, b: a | b, [(F.col("sub") == s) & _fm("type").isin(*t) for s, t in TYPES.items()])
-    dates = [F.when(ok & D.date_problem(_fm(k), today).isNotNull(), _item("MAJEUR", F.concat_ws(":", F.lit(k), D.date_problem(_fm(k), today)))) for k in DATE_KEYS]
+    dated = F.transform(F.array(*[F.struct(F.lit(k).alias("k"), D.date_problem(_fm(k), today).alias("p")) for k in DATE_KEYS]), lambda d: F.when(d.p.isNotNull(), _item("MAJEUR", F.concat_ws(":", d.k, d.p))))
     none = F.array().cast("array<struct<severity:string,observed:string,location:string>>")
     return {
-        "R5": _if(F.col("body").isNotNull() & (F.size(X.wikilinks(F.coalesce("prose", "body"))) == 0), "MINEUR", F.lit("0")),
+        "R5": _if(F.col("body").isNotNull() & ~F.coalesce("prose", "body").rlike(X.WIKILINK), "MINEUR", F.lit("0")),
         "R7": _if(~name.rlike(r"^[a-z0-9][a-z0-9._-]*\.md$"), "INFO", F.when(name.rlike(r"^-[a-z0-9._-]*\.md$"), F.lit("dash")).otherwise(F.lit("other"))),
         "R8": _if(F.col("err").isNotNull() | F.col("text").isNull(), "CRITIQUE", F.coalesce("err", F.lit("unreadable"))),
         "R9": F.array_compact(F.array(*required, F.when(ok & (F.col("sub") != "sources") & lacks("title"), _item("INFO", F.lit("title"))))),
         "R10": F.when(ok, F.transform(F.array_intersect(F.map_keys("fm"), F.array(*map(F.lit, FRENCH_KEYS))), lambda k: _item("MINEUR", k))).otherwise(none),
         "R11": _if(ok & ~lacks("type") & ~fits, "MAJEUR", _fm("type")),
-        "R12": F.array_compact(F.array(*dates)),
-        "R14": _if(ok & ~_stub() & (_floor() > 0) & ((n < _floor()) | ~F.col("body").rlike("(?m)^#")), "MAJEUR", F.when(n < _floor(), n.cast("string")).otherwise(F.lit("no heading"))),
-        "R17": _if(ok & ~_stub() & (n >= F.greatest(_floor(), F.lit(200))) & ~X.looks_french(F.col("body")), "MINEUR", n),
-        "R21": F.when(ok, _injections()).otherwise(none),
+        "R12": F.when(ok, F.array_compact(dated)).otherwise(none),
+        "R14": _if(ok & ~_stub() & (floor > 0) & ((n < floor) | ~F.col("body").rlike("(?m)^#")), "MAJEUR", F.when(n < floor, n.cast("string")).otherwise(F.lit("no heading"))),
+        "R17": _if(ok & ~_stub() & (n >= F.greatest(floor, F.lit(200))) & ~X.looks_french(F.col("body")), "MINEUR", n),
+        "R21": F.when(ok & F.col("scan").rlike("(?i)" + "|".join(f"(?:{x})" for x in INJECTIONS)), _injections()).otherwise(none),
         "R24": _if(ok & _stub(), "INFO", F.lit("stub")),
     }
 
@@ -144,8 +144,9 @@ PAGE_RULES = ("R5", "R7", "R8", "R9", "R10", "R11", "R12", "R14", "R17", "R21",
 def page_findings(pages: DataFrame, rules: tuple[str, ...] = PAGE_RULES, today: Column | None = None) -> DataFrame:
     """The findings of rules that look at one page alone, in one scan of the pages."""
     told = _page_rules(F.current_date() if today is None else today)
-    if "R21" in rules:
-        pages = pages.withColumn("scan", X.blank_lines_with(F.coalesce("prose", "body"), X.strip(F.coalesce(_fm("title"), F.lit("")))))
+    title = X.strip(F.coalesce(_fm("title"), F.lit("")))
+    # What several tests read is worked out once, beside the page.
+    pages = pages.withColumns({"scan": X.blank_lines_with(F.coalesce("prose", "body"), title), "_floor": _floor(), "_n": F.length(X.strip(F.col("body")))})
     named = lambda r: F.transform(told[r], lambda x: F.struct(x.severity.alias("severity"), F.lit(r).alias("rule"), x.location.alias("location"), x.observed.alias("observed")))
     each = F.flatten(F.array(*map(named, rules)))
     return pages.select(F.explode(each).alias("x")).select("x.*")
