@@ -79,6 +79,11 @@ def paragraph_key(x: Column) -> Column:
     return F.lower(strip(F.regexp_replace(x, r"(?U)\s+", " ")))
 
 
+def lines_of(x: Column) -> Column:
+    """The lines of a text that are not empty."""
+    return F.filter(F.split(x, "\n"), lambda y: y != "")
+
+
 def table_cell(x: Column) -> Column:
     """Fit for a cell of a Markdown table."""
     return F.replace(F.replace(x, F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" "))
@@ -131,11 +136,12 @@ def resolve_tokens(text: Column, names: Column, promoted: Column) -> Column:
     return replace_tokens(text, TOKEN, one)
 
 
-def front_matter(text: Column) -> Column:
+def front_matter(text: Column, *, strict: bool = False) -> Column:
     """struct(fm MAP<STRING,STRING>, body, err, first_line): flat front matter between '---' lines, ':' or '=' after the key, list items joined to the key before,
-    the last of repeated keys; err is 'absent', 'open' or 'line', then fm is null."""
+    the last of repeated keys; err is 'absent', 'open' or 'line', then fm is null. ``strict``: only a line of its own closes it, and only ':' follows a key; the map's keys are
+    in the order of their first lines."""
     lines = F.split(text, "\n", -1)
-    at = F.transform(lines, lambda x, i: F.when((i > 0) & ((strip(x) == "---") | F.endswith(strip(x), F.lit(" ---"))), i))
+    at = F.transform(lines, lambda x, i: F.when((i > 0) & ((strip(x) == "---") | (F.endswith(strip(x), F.lit(" ---")) & F.lit(not strict))), i))
     end = F.array_min(F.filter(at, lambda i: i.isNotNull()))
     glued = strip(F.get(lines, end)) != "---"
     head = F.concat(F.slice(lines, F.lit(2), F.greatest(end - 1, F.lit(0))), F.when(glued, F.array(F.regexp_replace(F.get(lines, end), r"\s*---\s*$", ""))).otherwise(F.array().cast("array<string>")))
@@ -145,7 +151,7 @@ def front_matter(text: Column) -> Column:
     item = lambda x: x.rlike(r"^[ \t]") | F.startswith(strip(x), F.lit("-"))
     colon = lambda x: F.contains(x, F.lit(":"))
     part = lambda x, i: F.when(colon(x), F.regexp_extract(x, r"^([^:]*):(.*)$", i)).otherwise(F.regexp_extract(x, r"^([^=]*)=(.*)$", i))
-    bad = F.exists(used, lambda x: ~item(x) & ~F.contains(x, F.lit(":")) & ~F.contains(x, F.lit("=")))
+    bad = F.exists(used, lambda x: ~item(x) & ~F.contains(x, F.lit(":")) & ~(F.contains(x, F.lit("=")) & F.lit(not strict)))
     # Fold the lines into (key, value) pairs; an item goes to the pair before it.
     pair = "struct<k:string,v:string>"
     start = F.array().cast(f"array<{pair}>")

@@ -140,3 +140,39 @@ def poll_action(milestones: DataFrame, now: Column) -> DataFrame:
     """One row: 'resume' if that is due, else 'lint' if that is, else 'wait'."""
     at = lambda n: F.max(F.when(F.col("name") == n, F.col("value")))
     return milestones.agg(F.when(at("ingest-due-at") <= now, "resume").when(at("ingest-due-at").isNull() & (at("lint-due-at") <= now), "lint").otherwise("wait").alias("action"))
+
+
+def open_models(states: DataFrame, now: Column) -> DataFrame:
+    """The models (model, exhausted_until, …) that are not closed at an instant."""
+    return states.filter(F.coalesce("exhausted_until", now) <= now)
+
+
+def calls_of_day(days: DataFrame, day: Column) -> DataFrame:
+    """One row: calls by model on a quota day, as a map; there are a few models."""
+    return days.filter(F.col("day") == day).agg(F.map_from_entries(F.collect_list(F.struct("model", "ok"))).alias("counts"))
+
+
+def cascaded(attempts: DataFrame) -> DataFrame:
+    """(request, model, status): of the attempts (request, prio, model, status, scope) at each request, the one that counts: the first, by ``prio``, that was not refused
+    for the day; the last one where all were. Only a refusal for the day goes on to the next model."""
+    daily = (F.col("status") == "quota") & (F.coalesce("scope", F.lit("")) == "daily")
+    one = F.struct("model", "status")
+    g = attempts.groupBy("request").agg(F.coalesce(F.min_by(one, F.when(~daily, F.col("prio"))), F.max_by(one, "prio")).alias("o"))
+    return g.select("request", "o.*")
+
+
+def learned_threshold(start: Column, tokens: Column) -> Column:
+    """An aggregate: the threshold after all requests of so many tokens that were too large. Each lowers it to four fifths of its tokens, never below the floor and never
+    up again, so their order does not matter."""
+    return F.least(F.max(start), F.coalesce(F.min(F.greatest(F.lit(N.CHUNK_FLOOR), F.floor(tokens * 0.8))), F.max(start))).cast("bigint")
+
+
+def weekly_run(milestones: DataFrame, now: Column) -> DataFrame:
+    """One row: may a weekly run start? Not while a resumption is still to come."""
+    due = F.max(F.when(F.col("name") == "ingest-due-at", F.col("value")))
+    return milestones.agg((F.coalesce(due, F.lit(0)) <= now).alias("start"))
+
+
+def within_budget(calls: DataFrame, order: list[str], budget: int) -> DataFrame:
+    """The calls that a run may make: the first ``budget`` in order; the rest waits, as a run stops by itself before a quota does it."""
+    return calls.orderBy(*order).limit(max(0, budget))

@@ -43,17 +43,17 @@ def index_summary(index: DataFrame) -> DataFrame:
 
 
 def entity_block(entities: DataFrame) -> DataFrame:
-    """(slug, block): the generated part of an entity page between its marks. ``entities``: slug, definition, mentions ARRAY<STRUCT<doc, evidence>>, links and sources ARRAY<STRING>."""
+    """(slug, block): the generated part of an entity page between its marks. ``entities``: slug, definition, mentions ARRAY<STRUCT<doc, evidence>>, links
+    ARRAY<STRUCT<rel_type, name>> and sources ARRAY<STRING>."""
     lines = lambda a, f: F.array_join(F.transform(a, f), "\n")
-    part = lambda head, body: F.when(F.coalesce(body, F.lit("")) != "", F.concat(F.lit(f"## {head}\n\n"), body))
-    body = F.concat_ws(
-        "\n\n",
-        part("Définition", F.col("definition")),
-        part("Mentions", lines("mentions", lambda m: F.concat(F.lit("- [["), m.doc, F.lit("]]"), F.when(F.coalesce(m.evidence, F.lit("")) != "", F.concat(F.lit(" : "), m.evidence)).otherwise(F.lit(""))))),
-        part("Liens", lines("links", lambda x: F.concat(F.lit("- "), x))),
-        part("Sources", lines("sources", lambda x: F.concat(F.lit("- "), X.source_rel(x)))),
+    part = lambda head, body: F.when(F.coalesce(body, F.lit("")) != "", F.concat(F.lit(f"## {head}\n\n"), body, F.lit("\n\n"))).otherwise(F.lit(""))
+    parts = F.concat(
+        part("Definition", X.strip(F.col("definition"))),
+        part("Mentions", lines("mentions", lambda m: F.concat(F.lit("- [["), m.doc, F.lit("]]"), F.when(F.coalesce(m.evidence, F.lit("")) != "", F.concat(F.lit(" - "), X.strip(m.evidence))).otherwise(F.lit(""))))),
+        part("Liens", lines("links", lambda x: F.concat(F.lit("- "), x.rel_type, F.lit(" : [["), x["name"], F.lit("]]")))),
+        part("Sources", lines("sources", lambda x: F.concat(F.lit("- `"), X.source_rel(x), F.lit("`")))),
     )
-    return entities.select("slug", F.concat(F.lit(BEGIN + "\n"), body, F.lit("\n" + END)).alias("block"))
+    return entities.select("slug", F.concat(F.lit(BEGIN + "\n\n"), parts, F.lit(END + "\n")).alias("block"))
 
 
 def source_page(title: Column, tags: Column, day: Column, summary: Column, sections: Column, warnings: Column, entities: Column, sha: Column, path: Column, names: Column, promoted: Column) -> Column:

@@ -16,6 +16,7 @@ from ..operators import render as V
 from ..operators import repair as R
 from ..operators import similarity as S
 from ..sources import read_table
+from .merge import _C, _R
 from .registry import Registry
 
 REGISTRY = Registry()
@@ -57,18 +58,24 @@ def kinds(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "entity_page").select("name").distinct().select("name", X.stub_kind(F.col("name")).alias("kind"))
 
 
-@REGISTRY.add("front_matter_parse", _P + "SELECT sub, name, coalesce(fm['title'], '') AS title, coalesce(fm['type'], '') AS type, CAST(coalesce(len(map_keys(fm)), 0) AS INTEGER) AS keys FROM p WHERE err IS NULL AND fm IS NOT NULL AND NOT contains(text, chr(13))")
+@REGISTRY.add("front_matter_parse", _P + r""", l AS (SELECT sub, name, fm AS fm0, text, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM p),
+ e AS (SELECT *, list_position(list_transform(ls[2:], lambda x: trim(x) = '---' OR ends_with(trim(x), ' ---')), true) AS fin FROM l),
+ h AS (SELECT *, list_filter(list_transform(ls[2:fin + 1], lambda x: regexp_replace(x, '(^|\s+)---\s*$', '')), lambda x: trim(x) <> '' AND NOT starts_with(trim(x), '#')) AS used FROM e),
+ r AS (SELECT *, CASE WHEN text IS NULL THEN 'unreadable' WHEN NOT starts_with(text, '---') THEN 'absent' WHEN fin IS NULL OR fin = 0 THEN 'open' WHEN len(list_filter(used, lambda x: NOT regexp_matches(x, '^[ \t]') AND NOT starts_with(trim(x), '-') AND NOT contains(x, ':') AND NOT contains(x, '='))) > 0 THEN 'line' END AS err,
+  list_filter(used, lambda x: NOT regexp_matches(x, '^[ \t]') AND NOT starts_with(trim(x), '-')) AS own FROM h),
+ k AS (SELECT *, list_transform(own, lambda x: trim(regexp_extract(x, CASE WHEN contains(x, ':') THEN '^([^:]*):' ELSE '^([^=]*)=' END, 1))) AS ks, list_transform(own, lambda x: regexp_replace(trim(regexp_extract(x, CASE WHEN contains(x, ':') THEN '^[^:]*:(.*)$' ELSE '^[^=]*=(.*)$' END, 1)), '^["'']+|["'']+$', '', 'g')) AS vs FROM r)
+SELECT sub, name, CASE WHEN err IS NULL THEN coalesce(vs[list_position(ks, 'title')], '') ELSE '' END AS title, CASE WHEN err IS NULL THEN coalesce(vs[list_position(ks, 'type')], '') ELSE '' END AS type, CAST(CASE WHEN err IS NULL THEN len(list_distinct(ks)) ELSE 0 END AS INTEGER) AS keys, err FROM k""")
 def front_matter(spark: SparkSession, d: str) -> DataFrame:
-    """Every page, with ``err`` where its front matter cannot be read; then it has no title, type or keys. The SQL holds only pages without CR that can be read, and no err."""
+    """Every page, with ``err`` where its front matter cannot be read; then it has no title, type or keys. The SQL reads the texts too, line by line."""
     p = _pages(spark, d).withColumn("r", X.front_matter(_lf(F.col("text"))))
     get = lambda k: F.coalesce(F.try_element_at("r.fm", F.lit(k)), F.lit(""))
     err = F.when(F.col("text").isNull(), F.lit("unreadable")).otherwise(F.col("r.err"))
     return p.select("sub", "name", get("title").alias("title"), get("type").alias("type"), F.coalesce(F.size(F.map_keys("r.fm")), F.lit(0)).alias("keys"), err.alias("err"))
 
 
-@REGISTRY.add("front_matter_get", _P + r"SELECT sub, name, trim(regexp_extract(regexp_extract(text, '(?s)\A---\s*\n(.*?)\n---\s*\n', 1), '(?m)^title:[ \t]*(.*)$', 1)) AS title FROM p WHERE text IS NOT NULL AND NOT contains(text, chr(13))")
+@REGISTRY.add("front_matter_get", _P + r"SELECT sub, name, trim(regexp_extract(regexp_extract(text, '(?s)\A---\s*\n(.*?)\n---\s*\n', 1), '(?m)^title:[ \t]*(.*)$', 1)) AS title FROM (SELECT sub, name, regexp_replace(text, '\r\n?', chr(10), 'g') AS text FROM p) WHERE text IS NOT NULL")
 def front_matter_get(spark: SparkSession, d: str) -> DataFrame:
-    """Every page with a text. The SQL leaves out those with a CR."""
+    """Every page with a text, CR and CRLF as line ends."""
     p = _pages(spark, d).filter("text is not null")
     return p.select("sub", "name", X.fm_get(X.fm_block(_lf(F.col("text"))), "title").alias("title"))
 
@@ -176,16 +183,27 @@ def source_pages(spark: SparkSession, d: str) -> DataFrame:
     return j.select("sha", page.alias("content"))
 
 
-@REGISTRY.add("entity_blocks")
+@REGISTRY.add("entity_blocks", _C + _R + r""", mt AS (SELECT slug, string_agg('- [[' || doc || ']]' || CASE WHEN ev <> '' THEN ' - ' || ev ELSE '' END, chr(10) ORDER BY doc, ev) AS t FROM (SELECT DISTINCT slug, doc, regexp_replace(coalesce(evidence, ''), '^\s+|\s+$', '', 'g') AS ev FROM m WHERE slug IN (SELECT slug FROM pr WHERE promoted)) GROUP BY slug),
+ so AS (SELECT slug, string_agg('- `' || regexp_replace(path, '^.*?/(raw/)', '\1') || '`', chr(10) ORDER BY path) AS t FROM (SELECT DISTINCT slug, path FROM m WHERE path IS NOT NULL) GROUP BY slug),
+ nm AS (SELECT slug, arg_min(name, (sha, idx, pos)) AS name FROM m WHERE coalesce(slug, '') <> '' GROUP BY slug),
+ li AS (SELECT from_slug AS slug, string_agg('- ' || rel_type || ' : [[' || name || ']]', chr(10) ORDER BY rel_type, name) AS t FROM (SELECT DISTINCT from_slug, rel_type, name FROM g JOIN nm ON nm.slug = to_slug WHERE rel_type IS NOT NULL) GROUP BY 1),
+ df AS (SELECT slug, doc, arg_min(definition, (sha, idx, pos)) AS text, arg_min(rank, (sha, idx, pos)) AS rank FROM m WHERE trim(coalesce(definition, '')) <> '' AND coalesce(slug, '') <> '' GROUP BY slug, doc),
+ bd AS (SELECT slug, regexp_replace(arg_min(text, (-rank, doc)), '^\s+|\s+$', '', 'g') AS t FROM df GROUP BY slug)
+SELECT mt.slug, '<!-- AUTO:BEGIN -->' || chr(10) || chr(10) || CASE WHEN coalesce(bd.t, '') <> '' THEN '## Definition' || chr(10) || chr(10) || bd.t || chr(10) || chr(10) ELSE '' END || '## Mentions' || chr(10) || chr(10) || mt.t || chr(10) || chr(10)
+ || CASE WHEN li.t IS NOT NULL THEN '## Liens' || chr(10) || chr(10) || li.t || chr(10) || chr(10) ELSE '' END || '## Sources' || chr(10) || chr(10) || so.t || chr(10) || chr(10) || '<!-- AUTO:END -->' || chr(10) AS block
+FROM mt JOIN so USING (slug) LEFT JOIN li USING (slug) LEFT JOIN bd USING (slug)""")
 def entity_blocks(spark: SparkSession, d: str) -> DataFrame:
     e = read_table(spark, d, "envelope")
     m = G.mentions(e)
     chosen = G.promoted(m)
-    told = G.entity_mentions(m, chosen).groupBy("slug").agg(F.array_sort(F.collect_set(F.struct("doc", "evidence"))).alias("mentions"))
-    made = m.join(chosen.filter("promoted").select("slug"), "slug", "left_semi").groupBy("slug").agg(F.array_sort(F.collect_set("path")).alias("sources"))
-    out = G.relation_graph(e, chosen).groupBy(F.col("from_slug").alias("slug")).agg(F.array_sort(F.collect_set(F.concat_ws(" ", "rel_type", "to_slug"))).alias("links"))
+    said = G.entity_mentions(m, chosen).select("slug", "doc", X.strip(F.coalesce("evidence", F.lit(""))).alias("evidence")).distinct()
+    told = said.groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("doc", "evidence"))).alias("mentions"))
+    made = m.join(chosen.filter("promoted").select("slug"), "slug", "left_semi").filter("path is not null").select("slug", "path").distinct().groupBy("slug").agg(F.array_sort(F.collect_list("path")).alias("sources"))
+    names = G.upsert(m).select(F.col("slug").alias("to_slug"), "name")
+    ends = G.relation_graph(e, chosen).join(names, "to_slug").filter("rel_type is not null").select(F.col("from_slug").alias("slug"), "rel_type", "name").distinct()
+    out = ends.groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("rel_type", "name"))).alias("links"))
     j = told.join(made, "slug").join(G.best_definitions(G.definitions(m)).select("slug", F.col("text").alias("definition")), "slug", "left").join(out, "slug", "left")
-    return V.entity_block(j.withColumn("links", F.coalesce("links", F.array().cast("array<string>"))))
+    return V.entity_block(j.withColumn("links", F.coalesce("links", F.array().cast(out.schema["links"].dataType))))
 
 
 @REGISTRY.add("fix_front_matter_plan", _P + r"""SELECT sub, name, CASE WHEN skip IS NULL THEN concat_ws(',', CASE WHEN coalesce(fm['type'], '') = '' THEN 'type' END, CASE WHEN coalesce(fm['title'], '') = '' THEN 'title' END, CASE WHEN sub = 'sources' AND coalesce(fm['last_updated'], '') = '' THEN 'last_updated' END) END AS added, skip

@@ -177,3 +177,26 @@ def test_requests(spark):
     assert p["p"].startswith("Fais.\n\n<document ") and p["p"].endswith("a.md") and json.loads(p["j"])["config"] == {} and json.loads(p["k"])["config"] == {"response_schema": "s", "temperature": 0.5}
     row = df.select(extract.thinking_config(F.col("model"), {"fam": "low", "fam-3": "high"}), extract.thinking_config(F.lit("other"), {"fam": "low"}), extract.thinking_rejected(F.lit(400), F.lit("bad Thinking Level")), extract.thinking_rejected(F.lit(400), F.lit(None).cast("string"))).first()
     assert tuple(row) == ("high", None, True, False)
+
+
+def test_models_and_budgets(spark):
+    states = spark.createDataFrame([("a", 100), ("b", None), ("c", 10)], "model string, exhausted_until long")
+    assert {r["model"] for r in pacing.open_models(states, F.lit(50)).collect()} == {"b", "c"}
+    days = spark.createDataFrame([("a", "d", 2), ("b", "d", 3), ("a", "e", 9)], "model string, day string, ok long")
+    assert pacing.calls_of_day(days, F.lit("d")).first()["counts"] == {"a": 2, "b": 3}
+    tries = [("r", 1, "a", "quota", "daily"), ("r", 2, "b", "ok", None), ("s", 1, "a", "quota", "minute"), ("s", 2, "b", "ok", None), ("t", 1, "a", "quota", "daily"), ("t", 2, "b", "quota", "daily")]
+    got = {r["request"]: (r["model"], r["status"]) for r in pacing.cascaded(spark.createDataFrame(tries, "request string, prio int, model string, status string, scope string")).collect()}
+    assert got == {"r": ("b", "ok"), "s": ("a", "quota"), "t": ("b", "quota")}
+    big = spark.createDataFrame([(40_000,), (20_000,), (30_000,)], "t long")
+    assert big.agg(pacing.learned_threshold(F.lit(50_000), F.col("t"))).first()[0] == 16_000 and big.limit(0).agg(pacing.learned_threshold(F.lit(50_000), F.col("t"))).first()[0] is None
+    due = spark.createDataFrame([("ingest-due-at", 90), ("other", 999)], "name string, value long")
+    assert [pacing.weekly_run(due, F.lit(n)).first()["start"] for n in (80, 90)] == [False, True] and pacing.weekly_run(due.limit(0), F.lit(1)).first()["start"]
+    assert [r["t"] for r in pacing.within_budget(big, ["t"], 2).collect()] == [20_000, 30_000] and pacing.within_budget(big, ["t"], -1).count() == 0
+
+
+def test_strict_front_matter(spark):
+    from notewright.functions import text as X
+
+    df = spark.createDataFrame([("---\nb: 1\na: 2 ---\nb: 3\n---\nx",), ("---\nk = v\n---\nx",), ("a\n\nb\n",)], "t string")
+    got = [(r["f"]["fm"] and [(k, r["f"]["fm"][k]) for k in r["k"]], r["f"]["err"], r["l"]) for r in df.select(X.front_matter(F.col("t"), strict=True).alias("f"), F.map_keys(X.front_matter(F.col("t"), strict=True).fm).alias("k"), X.lines_of(F.col("t")).alias("l")).collect()]
+    assert got[0][:2] == ([("b", "3"), ("a", "2 ---")], None) and got[1][:2] == (None, "line") and got[2][1:] == ("absent", ["a", "b"])
