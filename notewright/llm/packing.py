@@ -7,8 +7,8 @@ full containers and a rest that is packed like a text.
 
 The plan and the histogram are bounded by the capacity whatever the number of texts; nothing else is collected or sent.
 
-Defined results: null and empty texts have no tokens and stand at the start of container 0. Texts of one length take their places in order of their id, equal
-ids in any order. An empty table gives no rows. Equal texts are items of their own.
+Defined results: null and empty texts have no tokens and stand at the start of container 0. Texts of one length take their places in order of a hash of their
+id, at every size, equal ids in any order. An empty table gives no rows. Equal texts are items of their own.
 """
 
 from __future__ import annotations

@@ -44,13 +44,14 @@ def token_sizes(df: DataFrame, text: Column, keep: list[Column], *, vocabulary:
 
 
 def rank_within(df: DataFrame, group: list[str], order: list[str], rows: int, *, bucket_rows: int = 200_000, into: str = "rank") -> DataFrame:
-    """``df`` with each row's place, from 0, in its group. A group may hold any share of the ``rows`` rows of ``df``: it is ranked in buckets of hash space,
-    whose sizes, a few rows a group, are summed up before them."""
+    """``df`` with each row's place, from 0, in its group, in the order of a hash of ``order``, then of ``order`` itself, whatever the number of rows. A group may
+    hold any share of the ``rows`` rows of ``df``: it is ranked in buckets, which are ranges of the hash, and their sizes, a few rows a group, are summed up before them."""
     buckets = max(1, math.ceil(rows / bucket_rows))
+    h = df.withColumn("_hash", F.xxhash64(*order))
+    inner = lambda *by: F.row_number().over(Window.partitionBy(*group, *by).orderBy("_hash", *order)).cast("long") - 1
     if buckets == 1:
-        return df.withColumn(into, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long") - 1)
-    b = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+        return h.withColumn(into, inner()).drop("_hash")
+    b = h.withColumn("_bucket", F.least(F.floor((F.col("_hash").cast("double") / F.lit(2.0**64) + 0.5) * buckets), F.lit(buckets - 1)))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = b.groupBy(*group, "_bucket").agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    inner = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*order)).cast("long") - 1
-    return b.withColumn("_inner", inner).join(starts, [*group, "_bucket"]).withColumn(into, F.col("_start") + F.col("_inner")).drop("_bucket", "_inner", "_start")
+    return b.withColumn("_inner", inner("_bucket")).join(starts, [*group, "_bucket"]).withColumn(into, F.col("_start") + F.col("_inner")).drop("_bucket", "_inner", "_start", "_hash")

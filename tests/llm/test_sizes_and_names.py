@@ -32,6 +32,8 @@ def test_ranks_within_a_hot_group(spark, bucket_rows):
     for g in {r["g"] for r in got}:
         mine = sorted(r["rank"] for r in got if r["g"] == g)
         assert mine == list(range(len(mine)))
+    other = K.rank_within(spark.createDataFrame(rows, "g string, id int"), ["g"], ["id"], 300, bucket_rows=50).collect()
+    assert {(r["id"], r["rank"]) for r in other} == {(r["id"], r["rank"]) for r in got}  # the same places whatever the buckets
 
 
 @settings(max_examples=80, deadline=None)
