@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,7 +125,7 @@ def test_spool_is_purged_drained_and_sent(spark, tmp_path):
     assert sent[0] == "message 3" and sorted(os.path.basename(x) for x in removed) == [f"m{i:02d}.json" for i in (0, 1, 2, 3, 5, 6, 7, 8, 9, 10)]
     f.unpersist()
     got = []
-    J.run_available(J.watched_messages(spark, str(tmp_path), files=5), f"spool-{tmp_path.name}", sink=lambda df, n: got.extend(J.drained(df).collect()))
+    J.run_available(J.watched_messages(spark, str(tmp_path), files=5), f"spool-{uuid.uuid4().hex}", sink=lambda df, n: got.extend(J.drained(df).collect()))
     assert sorted(r["message"] for r in got) == sorted(f"✅ message {i}" for i in (0, 1, 2, 3, 4, 5, 6, 7, 11))
 
 
