@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import SLUG_STOP
 from ..operators import extraction as V
 from ..operators import reassemble as A
 from ..operators import registry as G
@@ -35,7 +36,36 @@ def _chunks(spark: SparkSession, d: str) -> DataFrame:
     return A.chunks(_env(spark, d))
 
 
-@REGISTRY.add("extraction_validate")
+def _slugged(x: str, n: int = 80) -> str:
+    return f"trim(left(trim(regexp_replace(lower(strip_accents(coalesce({x}, ''))), '[^a-z0-9]+', '-', 'g'), '-'), {n}), '-')"
+
+
+def _bare(x: str) -> str:
+    return rf"regexp_replace(coalesce({x}, ''), '^\s+|\s+$', '', 'g')"
+
+
+_STOP = ", ".join(f"'{w}'" for w in SLUG_STOP)
+_PARTS = f"list_filter(string_split({{0}}, '-'), lambda w: w <> '' AND w NOT IN ({_STOP}))"
+_VALID = _C + rf""", v0 AS (SELECT sha, idx, note, entities, relations, extraction, {_bare("note.title")} AS title, {_bare("note.slug")} AS own, regexp_replace(split_part(coalesce(path, ''), '/', -1), '^(.+)\.[^.]*$', '\1') AS stem,
+  list_filter(coalesce(note.sections, []), lambda s: {_bare("s.markdown")} <> '') AS sections, list_distinct(list_filter(list_transform(coalesce(note.tags, []), lambda t: {_slugged("t", 40)}), lambda t: regexp_full_match(t, '[a-z0-9-]{{1,40}}'))) AS tags, {_bare("note.doc_date")} AS day FROM c),
+ v1 AS (SELECT *, CASE WHEN regexp_full_match(own, '[a-z0-9-]{{1,80}}') THEN own ELSE nullif({_slugged("CASE WHEN own <> '' THEN own ELSE title END")}, '') END AS slug,
+  list_filter([{_slugged("title")}, {_slugged("stem")}, {_slugged(r"regexp_replace(stem, '^\d{4}-\d{2}-\d{2}[-_]|[-_][0-9a-f]{8}$', '', 'g')")}], lambda x: length(x) >= 8) AS ident FROM v0),
+ e0 AS (SELECT sha, idx, ident, pos, regexp_replace({_bare("e.name")}, '[/\\:*?"<>|]', '-', 'g') AS name, {_bare("e.slug")} AS s FROM (SELECT sha, idx, ident, unnest(entities) AS e, unnest(range(len(entities))) AS pos FROM v1)),
+ e1 AS (SELECT *, CASE WHEN regexp_full_match(s, '[a-z0-9-]{{1,80}}') THEN s ELSE nullif({_slugged("CASE WHEN s <> '' THEN s ELSE name END")}, '') END AS slug FROM e0),
+ e2 AS (SELECT *, {_PARTS.format("slug")} AS mine, flatten(list_transform(ident, lambda i: {_PARTS.format("i")})) AS theirs FROM e1 WHERE {_bare("name")} <> '' AND slug IS NOT NULL AND NOT regexp_matches(slug, '\d{{4}}-\d{{2}}-\d{{2}}')),
+ e3 AS (SELECT *, len(list_filter(mine, lambda w: list_contains(theirs, w))) AS common FROM e2),
+ e4 AS (SELECT sha, idx, list(DISTINCT slug) AS slugs FROM e3 WHERE NOT (len(list_filter(ident, lambda i: i = slug OR length(slug) >= 25 AND (starts_with(i, slug) OR starts_with(slug, i)))) > 0 OR len(mine) >= 4 AND common >= 3 AND common / greatest(len(mine), 1) >= 0.5) GROUP BY sha, idx),
+ v2 AS (SELECT v1.*, coalesce(e4.slugs, []) AS slugs FROM v1 LEFT JOIN e4 USING (sha, idx)),
+ v3 AS (SELECT *, len(list_filter(coalesce(relations, []), lambda r: list_contains(slugs, {_bare("r.from_slug")}) AND list_contains(slugs, {_bare("r.to_slug")}) AND {_bare("r.from_slug")} <> {_bare("r.to_slug")})) AS kept,
+  coalesce(list_sum(list_transform(sections, lambda s: length({_bare("s.markdown")}))), 0) AS body, list_distinct(flatten(list_transform(sections, lambda s: regexp_extract_all(s.markdown, '\{{\{{E:([^}}]{{1,120}})\}}\}}', 1)))) AS tokens FROM v2)
+SELECT sha AS sha256, idx AS chunk_idx, concat_ws(',', CASE WHEN title = '' THEN 'title' END, CASE WHEN slug IS NULL THEN 'slug' END, CASE WHEN len(sections) = 0 THEN 'sections' END, CASE WHEN body < 200 THEN 'body' END, CASE WHEN len(tags) = 0 THEN 'tags' END) AS errors,
+ concat_ws(',', CASE WHEN {_bare("note.summary")} = '' THEN 'summary' END, CASE WHEN len(tags) <> len(coalesce(note.tags, [])) THEN 'tags' END, CASE WHEN day <> '' AND NOT regexp_full_match(day, '\d{{4}}-\d{{2}}-\d{{2}}') THEN 'doc_date' END,
+  CASE WHEN len(slugs) <> len(coalesce(entities, [])) THEN 'entities' END, CASE WHEN len(list_filter(tokens, lambda t: NOT list_contains(slugs, t))) > 0 THEN 'tokens' END, CASE WHEN len(list_filter(sections, lambda s: contains(s.markdown, '[['))) > 0 THEN 'wikilink' END,
+  CASE WHEN kept <> len(coalesce(relations, [])) THEN 'relations' END, CASE WHEN len(list_filter(coalesce(note.warnings, []), lambda w: coalesce(w.about, '') <> '' AND NOT list_contains(slugs, w.about))) > 0 THEN 'about' END, CASE WHEN extraction.confidence IS NULL THEN 'confidence' END) AS warnings,
+ CAST(len(sections) AS INTEGER) AS sections, CAST(len(slugs) AS INTEGER) AS entities, CAST(kept AS INTEGER) AS relations, greatest(0.0, least(1.0, coalesce(extraction.confidence, 0.0)))::DOUBLE AS confidence FROM v3"""
+
+
+@REGISTRY.add("extraction_validate", _VALID)
 def validate(spark: SparkSession, d: str) -> DataFrame:
     """Each extraction with its errors and warnings and what is left of it."""
     v = V.validate(_once(spark, d))
