@@ -110,7 +110,20 @@ def tokens(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).filter("text is not null").select("doc_id", N.estimated_tokens(F.col("text")).alias("tokens"))
 
 
-@REGISTRY.add("chunk_spans")
+def _cut(lo: str, hi: str) -> str:
+    """SQL of the best place to cut ``text`` of ``n`` characters in the upper half of [lo, hi)."""
+    at = f"({lo} + greatest(1, ({hi} - {lo}) // 2))"
+    w = f"substr(text, {at} + 1, {hi} - {at})"
+    found = [rf"WHEN regexp_matches({w}, '(?s)\A((?:.*\n)?)#{{1,6}} ') THEN {at} + length(regexp_extract({w}, '(?s)\A((?:.*\n)?)#{{1,6}} ', 1))"]
+    found += [rf"WHEN regexp_matches({w}, '{x}') THEN {at} + length(regexp_extract({w}, '(?s)\A(.*{x})', 1))" for x in (r"\n\n", r"\n", " ")]
+    return f"CASE WHEN {hi} >= n THEN n {' '.join(found)} ELSE {hi} END"
+
+
+@REGISTRY.add("chunk_spans", f"""WITH RECURSIVE d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE text <> ''),
+ r AS (SELECT doc_id, 0 AS idx, CAST(0 AS BIGINT) AS a, CAST({_cut("0", "4000")} AS BIGINT) AS z FROM d
+  UNION ALL SELECT doc_id, idx + 1, s, CASE WHEN e <= s THEN s + 4000 ELSE e END FROM (SELECT *, CAST({_cut("s", "(s + 4000)")} AS BIGINT) AS e FROM (SELECT doc_id, idx, text, n, CASE WHEN back > a THEN back ELSE z END AS s
+   FROM (SELECT r.*, text, n, CAST({_cut("a", "greatest(a + 1, z - 320)")} AS BIGINT) AS back FROM r JOIN d USING (doc_id) WHERE z < n))))
+SELECT doc_id, CAST(idx AS INTEGER) AS idx, CAST(a AS INTEGER) AS start, CAST(z AS INTEGER) AS "end" FROM r""")
 def chunk_spans(spark: SparkSession, d: str) -> DataFrame:
     return C.document_spans(_docs(spark, d), "doc_id", "text", F.lit(4_000), F.lit(320))
 
@@ -241,6 +254,17 @@ def stubs(spark: SparkSession, d: str) -> DataFrame:
     return R.stub_targets(_pages(spark, d)).select("target", "pages")
 
 
-@REGISTRY.add("stub_pages")
+_LINKED = r"regexp_extract_all({0}, '\[\[([^\]\[|\n`]{{1,120}})(?:\|[^\]\n]*)?\]\]', 1)"
+
+
+@REGISTRY.add("stub_pages", _P + rf""", st AS (SELECT DISTINCT t FROM (SELECT regexp_replace(unnest({_LINKED.format("coalesce(prose, body)")}), '^\s+|\s+$', '', 'g') AS t FROM p WHERE body IS NOT NULL) WHERE t <> '' AND t NOT IN (SELECT stem FROM p) AND NOT regexp_matches(t, '[/\\:*?"<>|]')),
+ ln AS (SELECT sub, name, unnest(string_split(body, chr(10))) AS line, unnest(range(len(string_split(body, chr(10))))) AS pos FROM p WHERE body IS NOT NULL),
+ lk AS (SELECT sub, name, pos, left(regexp_replace(regexp_replace(line, '^\s+|\s+$', '', 'g'), '^[-*>#\s]+', ''), 400) AS line, regexp_replace(unnest({_LINKED.format("line")}), '^\s+|\s+$', '', 'g') AS t FROM ln WHERE contains(line, '[[')),
+ fl AS (SELECT t, sub, name, arg_min(line, pos) AS line FROM lk WHERE t IN (SELECT t FROM st) GROUP BY t, sub, name),
+ rk AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY sub, name) AS r FROM fl),
+ ms AS (SELECT t, string_agg('- [[' || regexp_replace(name, '\.md$', '') || ']] : ' || line, chr(10) ORDER BY sub, name) AS told FROM rk WHERE r <= 20 GROUP BY t),
+ k AS (SELECT t, told, CASE WHEN regexp_matches(t, '[0-9]|\.') THEN 'entities' WHEN len(list_filter(string_split_regex(t, '\s+'), lambda w: w <> '')) <= 3 AND regexp_matches(t, '(^|\s)\p{{Lu}}') THEN 'entities' WHEN regexp_matches(t, '\p{{Lu}}') AND NOT regexp_matches(t, '\p{{Ll}}') THEN 'entities' ELSE 'concepts' END AS kind FROM ms)
+SELECT 'wiki/' || kind || '/' || coalesce(nullif(trim(regexp_replace(trim(trim(regexp_replace(t, '[/\\:*?"<>|]', '-', 'g')), '.'), '\s+', ' ', 'g')), ''), 'sans-nom') || '.md' AS rel,
+ '---' || chr(10) || 'title: "' || replace(replace(t, '\', '\\'), '"', '\"') || '"' || chr(10) || 'type: ' || CASE kind WHEN 'entities' THEN 'entity' ELSE 'concept' END || chr(10) || 'tags: ["a-enrichir"]' || chr(10) || 'last_updated: 2026-01-01' || chr(10) || 'stub: true' || chr(10) || '---' || chr(10) || chr(10) || '# ' || t || chr(10) || chr(10) || told || chr(10) AS content FROM k""")
 def stub_pages(spark: SparkSession, d: str) -> DataFrame:
     return R.stub_pages(_pages(spark, d), F.to_date(F.lit("2026-01-01")))
