@@ -92,27 +92,17 @@ def ending_mark(text: str) -> str | None:
     return None
 
 
-class _Folded(dict[str, str]):
-    """Folded tokens, each worked out once."""
-
-    def __missing__(self, t: str) -> str:
-        if len(self) > 1 << 17:
-            self.clear()
-        self[t] = x = fold_text(t)
-        return x
-
-
-_FOLDED = _Folded()
 _STOPS = re.compile(r"[.?!…]+")
+_WORDS = re.compile(r"\w+")
 _LINES = re.compile(r"[\r\n]+| / ")
 
 
-def sentences(text: str) -> Iterator[tuple[list[str], bool]]:
-    """(tokens from the last sentence end on, does it end there) of each sentence."""
-    for line in _LINES.split(text):
+def sentences(folded: str) -> Iterator[tuple[list[str], bool]]:
+    """(tokens from the last sentence end on, does it end there) of each sentence of a folded text."""
+    for line in _LINES.split(folded):
         parts = _STOPS.split(line)
         for i, part in enumerate(parts):
-            if run := [_FOLDED[t] for t in _TOKEN.findall(part)]:
+            if run := _TOKEN.findall(part):
                 yield run, i < len(parts) - 1
 
 
@@ -129,7 +119,7 @@ def _hash(field: str, words: Sequence[str]) -> int:
 def final_contexts(field: str, text: str) -> list[int]:
     """Hashes of the contexts of growing length at the end of a text; the sentence start counts as a word."""
     last: list[str] = []
-    for run, _ in sentences(text):
+    for run, _ in sentences(fold_text(text)):
         last = run
     words = ["^", *last]
     return [_hash(field, words[-k:]) for k in range(1, min(MAX_CONTEXT, len(words)) + 1)] if last else []
@@ -196,10 +186,10 @@ class Corpus:
         self.parts: dict[str, list[tuple[int, bool]]] = {}
         self.firsts = _Firsts(asked)
 
-    def contexts(self, field: str, text: str, whole_text: bool, pairs: Counter[tuple[str, str]], ends_in: Counter[tuple[str, str]], longer: Counter[tuple[int, bool]]) -> None:
+    def contexts(self, field: str, folded: str, whole_text: bool, pairs: Counter[tuple[str, str]], ends_in: Counter[tuple[str, str]], longer: Counter[tuple[int, bool]]) -> None:
         """Adds the pairs (word before, word), those that end a sentence apart, and the asked contexts of three words or more. The last words of a text
         without a full stop are no evidence in running text; in titles (``whole_text``) they are the only end."""
-        runs = list(sentences(text))
+        runs = list(sentences(folded))
         inner: list[tuple[str, str]] = []
         known = self.known.setdefault(field, _Contexts(field, self.asked))
         for i, (run, ends) in enumerate(runs):
@@ -225,10 +215,10 @@ class Corpus:
             self.parts[item] = [x for x in found if x[0] in self.asked]
         return self.parts[item]
 
-    def words(self, text: str, seen: Counter[str | tuple[str, str]]) -> None:
+    def words(self, text: str, folded: str, seen: Counter[str | tuple[str, str]]) -> None:
         """Words, and pairs whose first word begins an asked pair, but for those at the very end of a text that a cut may have shortened."""
         bare = without_mark(text)
-        words = re.findall(r"\w+", fold_text(bare))
+        words = _WORDS.findall(folded if bare == text else fold_text(bare))
         if words and (bare != text or not TERMINAL.search(text.rstrip())):
             words.pop()
         seen.update(words)
@@ -285,8 +275,9 @@ def _count_corpus(bits: np.ndarray):
             seen: Counter[tuple[int, bool]] = Counter()
             words: Counter[str | tuple[str, str]] = Counter()
             for field, text, whole in zip(b.column("field").to_pylist(), b.column("text").to_pylist(), b.column("whole_text").to_pylist(), strict=True):
-                corpus.contexts(field, text, whole, *pairs.setdefault(field, (Counter(), Counter())), seen)
-                corpus.words(text, words)
+                folded = fold_text(text)
+                corpus.contexts(field, folded, whole, *pairs.setdefault(field, (Counter(), Counter())), seen)
+                corpus.words(text, folded, words)
             for field, end, pair, k in ((f, e, p, k) for f, both in pairs.items() for e, c in zip((False, True), both, strict=True) for p, k in c.items()):
                 for words_ in (pair[1:], pair):
                     if (h := corpus.known[field][words_]) is not None:

@@ -120,7 +120,7 @@ def test_corpus_counts_are_those_of_all_contexts(spark):
     asked = {h for r in v.collect() for h in r["ctx"]}
     want: dict[int, list[int]] = {}
     for field, text, whole in [("summary", t, False) for t in texts] + [("title", "le chat", True)]:
-        runs = list(T.sentences(text))
+        runs = list(T.sentences(T.fold_text(text)))
         for i, (run, ends) in enumerate(runs):
             words = ["^", *run]
             for j in range(1, len(words)):
